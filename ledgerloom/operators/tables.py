@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ledgerloom.operators.dedup import first_per
+
 
 @dataclass(frozen=True)
 class Table:
@@ -49,6 +51,10 @@ class Table:
                     df = df.filter(F.col(column) <= end)
         return df
 
+    def read_latest(self, key: str, order: list[Column], **filters) -> DataFrame:
+        """Merge on read: the newest version of each key of an append-only table."""
+        return first_per(self.read(**filters), [key], order)
+
     # ------------------------------------------------------------------ writing
     def _spread(self, df: DataFrame) -> DataFrame:
         """Group rows by target folder before writing. REBALANCE splits a folder that holds
@@ -80,6 +86,10 @@ class Table:
             self.clear(emptied, current.schema)
         return seen.get["n"]
 
+    def compact(self, key: str, order: list[Column], **filters) -> int:
+        """Rewrites the filtered partitions with one row per key in fewer, larger files."""
+        return self.overwrite_partitions(self.read_latest(key, order, **filters))
+
     def clear(self, values: DataFrame, schema: StructType) -> None:
         """Empties whole partitions; the list is folder metadata, not data."""
         keep = StructType([f for f in schema.fields if f.name not in self.partitions])
