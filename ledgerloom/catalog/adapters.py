@@ -186,6 +186,67 @@ select concat('R-', cast(l_orderkey as string), '-', cast(l_linenumber as string
        l_shipdate + {SHIFT} as _ingested_at
 from lineitem""",
 }
+# Bank rows under the full contract, with the known kinds of bad rows, replays and copies.
+UUID_ID = "concat('00000000-0000-4000-8000-', lpad(cast(o_orderkey as string), 12, '0'))"
+_DIRTY = f"""
+select case when o_orderkey % 37 = 0 then null when o_orderkey % 59 = 0 then 'T-1'
+            else {UUID_ID} end as transaction_id,
+       case when o_orderkey % 41 = 0 then null else o_orderdate + {SHIFT} end as event_ts,
+       {serial('A', 'o_custkey * 5')} as account_id,
+       case when o_orderkey % 3 = 0 then null else {serial('A', '(o_orderkey % 150) * 5')} end
+            as beneficiary_account,
+       {serial('B', 'o_orderkey % 10')} as branch_id,
+       case when o_orderkey % 43 = 0 then 'XX' else {country('o_custkey')} end as country_code,
+       case when o_orderkey % 47 = 0 then 'GIFT' else 'PAYMENT' end as transaction_type,
+       cast(case when o_orderkey % 29 = 0 then -1 else 1 end
+            * cast(o_totalprice as decimal(18,2)) * 30 as decimal(20,2)) as amount,
+       case when o_orderkey % 31 = 0 then 'GHS' when o_orderkey % 71 = 0 then 'EUR'
+            else {currency('o_custkey')} end as currency,
+       case when o_orderkey % 20 = 0 then null when o_orderkey % 73 = 0 then 'FAX'
+            else 'ATM' end as channel,
+       case o_orderstatus when 'F' then 'SUCCESS' when 'O' then 'FAILED' else 'REVERSED' end
+            as transaction_status,
+       cast(cast(o_totalprice as decimal(18,2)) * 0.03 as decimal(20,2)) as fee_amount,
+       case when o_orderkey % 79 = 0 then 'SHOP' else 'BANK' end as entity_type,
+       case when o_orderkey % 41 = 0 then concat('broken,', cast(o_orderkey as string)) end
+            as _corrupt_record, copy,
+       case when copy = 2 then 'landing/zz-replay.csv'
+            else concat('landing/', {country('o_custkey')}, '/bank_transactions/part-',
+                        cast(o_orderkey % 16 as string), '.csv') end as _source_file
+from orders join (select 1 as copy union all select 2 union all select 3) copies
+     on copy = 1 or (copy = 2 and o_orderkey % 53 = 0) or (copy = 3 and o_orderkey % 61 = 0)"""
+ADAPTERS["d_bank"] = _DIRTY
+
+# Logs shaped from `events`: one progress row per event, one run per user and day.
+ADAPTERS["p_log"] = """
+select 'silver_to_gold' as job,
+       case event_type when 'click' then 'event_rules' when 'view' then 'fraud_bursts'
+            when 'error' then 'liquidity' else 'raw_to_silver' end as query,
+       case when event_id % 997 = 0 then 'started' when event_id % 1301 = 0 then 'terminated'
+            when event_id % 10 = 3 then 'idle' else 'progress' end as event,
+       ts as at, event_id % 100 as input_rows,
+       case when event_id % 1301 = 0 and event_type = 'error' then 'state store lost' end as error,
+       case when event_id % 10 = 3 then null
+            when event_id % 4 = 0 then '{"raw-a": {"0": 5}}'
+            else concat('{"raw-a": {"0": ', cast(event_id as string), ', "1": ',
+                        cast(event_id % 50 as string), '}, "raw-b": {"0": 7}}') end as end_offset,
+       case when event_id % 10 = 3 then null
+            else concat('{"raw-a": {"0": ', cast(event_id + event_id % 30 as string),
+                        ', "1": 40}, "raw-b": {"0": ', cast(event_id % 9 as string),
+                        ', "2": 9000}}') end as latest_offset
+from events"""
+ADAPTERS["c_log"] = """
+select case when event_id % 2 = 0 then 'raw_to_silver' else 'event_rules' end as job,
+       event_id as batch_id, ts as at,
+       case event_type when 'click' then 'rows' when 'view' then 'alerts'
+            when 'error' then 'dead_letters' else 'country_lag' end as counter,
+       concat('label-', cast(user_id % 5 as string)) as label,
+       cast(event_id % 40 as double) as n
+from events"""
+ADAPTERS["r_log"] = """
+select concat('report-', cast(user_id % 6 as string)) as job, ts as at,
+       case when event_id % 3 = 0 then 'FAILED' else 'SUCCESS' end as status
+from events where user_id % 6 <> 5 or ts < timestamp '2024-01-15 00:00:00'"""
 BRONZE = {"customers": "b_customers", "branches": "b_branches", "products": "b_products",
           "accounts": "b_accounts", "bank_transactions": "b_bank",
           "insurance_operations": "b_insurance", "mobile_money_payments": "b_mm",

@@ -5,6 +5,7 @@ transforms of other formats become derived columns (`event_day`, `event_month`).
 writer per table; a rerun after a crash rewrites the same partitions with the same rows."""
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -12,7 +13,7 @@ from functools import reduce
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from ledgerloom.operators.dedup import first_per
 
@@ -24,19 +25,35 @@ class Table:
     partitions: tuple[str, ...] = ()
 
     # ------------------------------------------------------------------ reading
-    def read_or_none(self) -> DataFrame | None:
+    def schema_or_none(self) -> StructType | None:
+        """The table's schema, kept beside the data: reading it costs one small file, where
+        merging the schemas of all data files would open every footer."""
         try:
-            # Additive evolution: older files simply lack the newer columns.
-            return (self.spark.read.option("mergeSchema", "true")
-                    .option("recursiveFileLookup", "false").parquet(self.path))
+            rows = self.spark.read.text(f"{self.path}/_schema").collect()
         except AnalysisException:
             return None
+        return StructType.fromJson(json.loads(rows[0]["value"])) if rows else None
+
+    def _remember(self, schema: StructType) -> None:
+        loose = StructType([StructField(f.name, f.dataType, True) for f in schema.fields])
+        if self.schema_or_none() != loose:
+            row = self.spark.createDataFrame([(loose.json(),)], "value STRING")
+            row.coalesce(1).write.mode("overwrite").text(f"{self.path}/_schema")
+
+    def read_or_none(self) -> DataFrame | None:
+        schema = self.schema_or_none()
+        if schema is None:
+            return None
+        # Additive evolution: older files simply lack the newer columns.
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def read(self, countries: Iterable[str] | None = None, since: str | None = None,
              until: str | None = None) -> DataFrame:
         """Filters on the partition columns reach the file listing, so whole folders are
         skipped; `since`/`until` are ISO dates on the day or month partition."""
-        df = self.spark.read.option("mergeSchema", "true").parquet(self.path)
+        df = self.read_or_none()
+        if df is None:
+            raise FileNotFoundError(f"no table at {self.path}")
         if countries:
             df = df.filter(F.col("country_code").isin(*countries))
         for column in ("event_day", "event_month"):
@@ -62,42 +79,50 @@ class Table:
         return df.hint("rebalance", *self.partitions) if self.partitions else df
 
     def append(self, df: DataFrame) -> None:
+        current = self.schema_or_none()
+        df = df if current is None else align(df, current)
         self._spread(df).write.mode("append").partitionBy(*self.partitions).parquet(self.path)
+        self._remember(df.schema)
 
     def replace(self, df: DataFrame) -> None:
         """The whole (small) table."""
         (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
          .partitionBy(*self.partitions).parquet(self.path))
+        self._remember(df.schema)
 
-    def overwrite_partitions(self, df: DataFrame, emptied: DataFrame | None = None) -> int:
+    def overwrite_partitions(self, df: DataFrame, before: set[tuple] | None = None) -> int:
         """Replaces the partitions present in `df`, adds new columns, fills vanished ones with
-        NULL, and returns the row count observed while writing (no second pass).
-        `emptied` lists partition values that had rows before and have none now."""
+        NULL, and returns the row count. Partitions of `before` that got no row are emptied.
+
+        The count and the list of written partitions (folder metadata) are observed while
+        writing, so `df` is computed once."""
+        if not self.partitions:
+            raise ValueError(f"{self.path} has no partition columns; use replace()")
         current = self.read_or_none()
         if current is not None:
             df = align(df, current.schema)
-        if not self.partitions:
-            raise ValueError(f"{self.path} has no partition columns; use replace()")
         seen = Observation()
-        out = self._spread(df.observe(seen, F.count(F.lit(1)).alias("n")))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        watched = df.observe(seen, F.count(F.lit(1)).alias("n"),
+                             F.collect_set(F.struct(*self.partitions)).alias("written"))
+        (self._spread(watched).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partitions).parquet(self.path))
-        if emptied is not None and current is not None:
-            self.clear(emptied, current.schema)
+        self._remember(df.schema)
+        if before and current is not None:
+            self.clear(before - {tuple(r) for r in seen.get["written"]}, current.schema)
         return seen.get["n"]
 
     def compact(self, key: str, order: list[Column], **filters) -> int:
         """Rewrites the filtered partitions with one row per key in fewer, larger files."""
         return self.overwrite_partitions(self.read_latest(key, order, **filters))
 
-    def clear(self, values: DataFrame, schema: StructType) -> None:
-        """Empties whole partitions; the list is folder metadata, not data."""
+    def clear(self, values: set[tuple], schema: StructType) -> None:
+        """Empties whole partitions; a dynamic overwrite leaves the ones it has no row for."""
         keep = StructType([f for f in schema.fields if f.name not in self.partitions])
-        blank = self.spark.createDataFrame([], keep)
-        text = values.select(*[F.col(p).cast("string") for p in self.partitions]).distinct()
-        for row in text.collect():
-            folder = "/".join(f"{p}={row[p]}" for p in self.partitions)
-            blank.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        for value in values:
+            folder = "/".join(f"{p}={v}" for p, v in zip(self.partitions, value))
+            (self.spark.createDataFrame([], keep).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static").parquet(f"{self.path}/{folder}"))
 
     # ------------------------------------------------------------------ merging
     def insert_new(self, source: DataFrame, key: str,
@@ -137,31 +162,17 @@ class Table:
             if not homes | targets:
                 return
             old = not_in(current.filter(self._in(homes | targets)), source, key)
-            # Only a folder that keys moved out of can lose its last row.
-            moved_from = homes - targets
-            gone = moved_from and moved_from - {tuple(r) for r in self._partition_values(
-                old.filter(self._in(moved_from)))}
-            self.overwrite_partitions(old.unionByName(source),
-                                      self._frame_of(gone, current.schema))
+            self.overwrite_partitions(old.unionByName(source), before=homes)
         finally:
             source.unpersist()
 
-    def replace_scope(self, df: DataFrame, scope: Column) -> None:
-        """Delete the rows in `scope` and write `df`: partitions of the scope without new rows
-        are emptied. `scope` is a condition on partition columns."""
+    def replace_scope(self, df: DataFrame, scope: Column) -> int:
+        """Deletes the rows in `scope` (a condition on partition columns) and writes `df`."""
         current = self.read_or_none()
-        emptied = None
+        before = None
         if current is not None:
             before = {tuple(r) for r in self._partition_values(current.filter(scope))}
-            after = {tuple(r) for r in self._partition_values(df)}
-            emptied = self._frame_of(before - after, current.schema)
-        self.overwrite_partitions(df, emptied)
-
-    def _frame_of(self, values: set[tuple], schema: StructType) -> DataFrame | None:
-        if not values:
-            return None
-        return self.spark.createDataFrame(
-            list(values), StructType([schema[p] for p in self.partitions]))
+        return self.overwrite_partitions(df, before)
 
     def _partition_values(self, df: DataFrame) -> list:
         return df.select(*self.partitions).distinct().collect()
@@ -249,3 +260,8 @@ def create_table_sql(name: str, schema: StructType, partitions: tuple[str, ...]
         escaped = comment.replace("\\", "\\\\").replace("'", "\\'")
         parts.append(f"COMMENT '{escaped}'")
     return "\n".join(parts)
+
+
+def replaced_rows(current: DataFrame, new: DataFrame, scope: Column) -> DataFrame:
+    """A table after `replace_scope`, as a frame."""
+    return current.filter(~scope).unionByName(new)

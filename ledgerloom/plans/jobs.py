@@ -46,12 +46,8 @@ def run_silver(warehouse: Warehouse, secret: str, countries: list[str] | None =
             df = df.withColumn("event_month", month_of("timestamp"))
         table = warehouse.table("silver", name, partitions)
         df = df.withColumn("_silver_processed_at", moment(as_of))
-        current = table.read_or_none()
-        in_scope = F.col("country_code").isin(*scope) if countries else F.lit(True)
-        if current is None:
-            written[name] = table.overwrite_partitions(df)
-        else:
-            written[name] = table.replace_scope(df, in_scope)
+        written[name] = table.replace_scope(
+            df, F.col("country_code").isin(*scope) if countries else F.lit(True))
         assert_unique(table.read(countries=scope), silver.KEYS[name], f"silver.{name}")
     if quarantine is not None:
         held = quarantine.persist()
