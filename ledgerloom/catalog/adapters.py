@@ -127,7 +127,7 @@ select concat('O-', cast(l_orderkey as string), '-', cast(l_linenumber as string
             else 'POLICY_CANCELLATION' end as operation_type,
        case l_suppkey % 5 when 0 then 'VIE' when 1 then 'IARD_AUTO' when 2 then 'IARD_HABITATION'
             when 3 then 'IARD_SANTE' else 'PREVOYANCE' end as product_line,
-       cast(l_extendedprice as decimal(20,2)) * 100 as amount,
+       cast(cast(l_extendedprice as decimal(18,2)) * 100 as decimal(20,2)) as amount,
        {currency(LINE_CUSTOMER)} as currency,
        case l_returnflag when 'A' then 'paid' when 'N' then 'PENDING' else 'REJECTED' end
             as claim_status,
@@ -224,7 +224,7 @@ select 'silver_to_gold' as job,
             when 'error' then 'liquidity' else 'raw_to_silver' end as query,
        case when event_id % 997 = 0 then 'started' when event_id % 1301 = 0 then 'terminated'
             when event_id % 10 = 3 then 'idle' else 'progress' end as event,
-       ts as at, event_id % 100 as input_rows,
+       ts as logged_at, event_id % 100 as input_rows,
        case when event_id % 1301 = 0 and event_type = 'error' then 'state store lost' end as error,
        case when event_id % 10 = 3 then null
             when event_id % 4 = 0 then '{"raw-a": {"0": 5}}'
@@ -237,14 +237,14 @@ select 'silver_to_gold' as job,
 from events"""
 ADAPTERS["c_log"] = """
 select case when event_id % 2 = 0 then 'raw_to_silver' else 'event_rules' end as job,
-       event_id as batch_id, ts as at,
+       event_id as batch_id, ts as logged_at,
        case event_type when 'click' then 'rows' when 'view' then 'alerts'
             when 'error' then 'dead_letters' else 'country_lag' end as counter,
        concat('label-', cast(user_id % 5 as string)) as label,
        cast(event_id % 40 as double) as n
 from events"""
 ADAPTERS["r_log"] = """
-select concat('report-', cast(user_id % 6 as string)) as job, ts as at,
+select concat('report-', cast(user_id % 6 as string)) as job, ts as logged_at,
        case when event_id % 3 = 0 then 'FAILED' else 'SUCCESS' end as status
 from events where user_id % 6 <> 5 or ts < timestamp '2024-01-15 00:00:00'"""
 BRONZE = {"customers": "b_customers", "branches": "b_branches", "products": "b_products",

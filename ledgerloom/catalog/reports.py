@@ -148,7 +148,7 @@ def revenue_by_line(lake):
 @query("""
 select * from (
   select country_code, entity_type, product_name, nb_subscriptions, row_number() over (
-    partition by country_code order by nb_subscriptions desc, product_name, entity_type) as rank
+    partition by country_code order by nb_subscriptions desc, product_name, entity_type)::int as rank
   from (select country_code, entity_type, product_name, count(*) as nb_subscriptions from s_accounts
         where entity_type in ('BANK', 'INSURANCE') and status = 'ACTIVE' group by 1, 2, 3))
 where rank <= 10""", "s_accounts")
@@ -692,8 +692,8 @@ def table_freshness(lake):
 for _log in ("p_log", "c_log", "r_log"):
     P.PARTS[_log] = ((), P.ADAPTERS[_log])
 P.PARTS["backlog"] = (("p_log",), """
-select query, at, topic, cast(sum(greatest(latest - done, 0)) as bigint) as lag from (
-  select query, at, t.topic, t.part,
+select query, logged_at, topic, cast(sum(greatest(latest - done, 0)) as bigint) as lag from (
+  select query, logged_at, t.topic, t.part,
          cast(json_extract_string(latest_offset, '$."' || t.topic || '"."' || t.part || '"') as bigint) as latest,
          coalesce(cast(json_extract_string(end_offset, '$."' || t.topic || '"."' || t.part || '"') as bigint), 0) as done
   from p_log cross join (values ('raw-a', '0'), ('raw-a', '1'), ('raw-b', '0'), ('raw-b', '2')) t(topic, part)
@@ -708,21 +708,21 @@ def stream_lag(lake):
 
 @query("""
 select query, topic, lag from backlog b
-where at = (select max(at) from p_log p where p.query = b.query and latest_offset is not null)""", "backlog")
+where logged_at = (select max(logged_at) from p_log p where p.query = b.query and latest_offset is not null)""", "backlog")
 def stream_lag_current(lake):
     return health.current_backlog(lake.adapter("p_log"))
 
 
 @query("""
-select query, max(at) filter (event <> 'terminated') as last_seen,
+select query, max(logged_at) filter (event <> 'terminated') as last_seen,
        cast(epoch(timestamp '2024-01-31 00:00:00') as bigint)
-         - cast(floor(epoch(max(at) filter (event <> 'terminated'))) as bigint) as age_s,
-       coalesce(arg_max(event, at) filter (event in ('started', 'terminated')) <> 'terminated', true) as active,
+         - cast(floor(epoch(max(logged_at) filter (event <> 'terminated'))) as bigint) as age_s,
+       coalesce(arg_max(event, logged_at) filter (event in ('started', 'terminated')) <> 'terminated', true) as active,
        max(error) as error, cast(sum(input_rows) as bigint) as input_rows,
-       coalesce(arg_max(event, at) filter (event in ('started', 'terminated')) <> 'terminated', true)
+       coalesce(arg_max(event, logged_at) filter (event in ('started', 'terminated')) <> 'terminated', true)
          and max(error) is null
          and cast(epoch(timestamp '2024-01-31 00:00:00') as bigint)
-           - cast(floor(epoch(max(at) filter (event <> 'terminated'))) as bigint) < 900 as healthy
+           - cast(floor(epoch(max(logged_at) filter (event <> 'terminated'))) as bigint) < 900 as healthy
 from p_log group by 1""", "p_log")
 def stream_health(lake):
     return health.query_health(lake.adapter("p_log"), "2024-01-31 00:00:00", max_age=900)
@@ -740,20 +740,20 @@ _CLOCK = "timestamp '2024-01-20 07:30:00'"
 
 @query(f"""
 select 'no_progress' as slo, query as subject,
-       cast(epoch({_CLOCK}) as bigint) - max(cast(floor(epoch(at)) as bigint)) > 420 as breached
-from p_log where at <= {_CLOCK} and event <> 'terminated' group by 2
+       cast(epoch({_CLOCK}) as bigint) - max(cast(floor(epoch(logged_at)) as bigint)) > 420 as breached
+from p_log where logged_at <= {_CLOCK} and event <> 'terminated' group by 2
 union all
 select 'backlog', query,
        coalesce(min(lag) filter (sec > cast(epoch({_CLOCK}) as bigint) - 60) > 5000, true)
-       and coalesce(arg_max(lag, at) filter (sec <= cast(epoch({_CLOCK}) as bigint) - 60) > 5000, false)
-from (select query, at, cast(floor(epoch(at)) as bigint) as sec, sum(lag) as lag from backlog
-      where at <= {_CLOCK} group by 1, 2, 3) group by 2
+       and coalesce(arg_max(lag, logged_at) filter (sec <= cast(epoch({_CLOCK}) as bigint) - 60) > 5000, false)
+from (select query, logged_at, cast(floor(epoch(logged_at)) as bigint) as sec, sum(lag) as lag from backlog
+      where logged_at <= {_CLOCK} group by 1, 2, 3) group by 2
 union all
 select 'report_missing', job,
-       coalesce(max(at) filter (status = 'SUCCESS') < timestamp '2024-01-20', true)
-       or (max(at) filter (status = 'FAILED') is not null
-           and coalesce(max(at) filter (status = 'FAILED') > max(at) filter (status = 'SUCCESS'), true))
-from r_log where at <= {_CLOCK} group by 2""", "p_log", "backlog", "r_log")
+       coalesce(max(logged_at) filter (status = 'SUCCESS') < timestamp '2024-01-20', true)
+       or (max(logged_at) filter (status = 'FAILED') is not null
+           and coalesce(max(logged_at) filter (status = 'FAILED') > max(logged_at) filter (status = 'SUCCESS'), true))
+from r_log where logged_at <= {_CLOCK} group by 2""", "p_log", "backlog", "r_log")
 def slo_breaches(lake):
     return health.slo_breaches(lake.adapter("p_log"), lake.adapter("r_log"),
                                "2024-01-20 07:30:00")

@@ -30,22 +30,26 @@ def latest(df: DataFrame, key: str, order: list[Column] | None = None) -> DataFr
 
 
 def mark_copies(df: DataFrame, key: str, row_id: str, newest_file_wins: bool,
-                spread: int = COPY_SPREAD) -> DataFrame:
-    """Adds `_is_copy`: true on all rows of a key but the winner.
+                eligible: Column | None = None, spread: int = COPY_SPREAD) -> DataFrame:
+    """Adds `_is_copy`: true on all eligible rows of a key but the winner.
 
     Every copy is needed (each one is rejected and logged), so there is no group limit to prune
     them. Ranking runs in two levels: first inside (key, slice), where the slice comes from
     `row_id`, so even a group of identical rows is spread over `spread` tasks; then among the
-    slice winners, at most `spread` rows per key. `row_id` must be stable when a task is
-    recomputed: numbered at the scan, or a message position."""
+    slice winners, at most `spread` rows per key. Rows that are not eligible form groups of one.
+    `row_id` must be stable when a task is recomputed: numbered at the scan, or a message
+    position."""
     by_file = F.col("_source_file").desc() if newest_file_wins else F.col("_source_file").asc()
     order = [by_file, F.col("_content")]
-    sliced = (df.withColumn("_content", content_hash(df))
-              .withColumn("_slice", F.pmod(F.xxhash64(row_id), F.lit(spread))))
+    group = F.col(key)
+    if eligible is not None:
+        alone = F.concat(F.lit("\u0000"), F.col(row_id).cast("string"))
+        group = F.when(eligible, group).otherwise(alone)
+    sliced = df.withColumns({"_content": content_hash(df), "_group": group,
+                             "_slice": F.pmod(F.xxhash64(row_id), F.lit(spread))})
     local = sliced.withColumn(
-        "_local", F.row_number().over(Window.partitionBy(key, "_slice").orderBy(*order)))
+        "_local", F.row_number().over(Window.partitionBy("_group", "_slice").orderBy(*order)))
     losers = local.filter("_local > 1").withColumn("_is_copy", F.lit(True))
-    finalists = local.filter("_local = 1").withColumn(
-        "_is_copy",
-        F.row_number().over(Window.partitionBy(key).orderBy(*order, F.col("_slice"))) > 1)
-    return losers.unionByName(finalists).drop("_content", "_slice", "_local")
+    final = F.row_number().over(Window.partitionBy("_group").orderBy(*order, F.col("_slice")))
+    finalists = local.filter("_local = 1").withColumn("_is_copy", final > 1)
+    return losers.unionByName(finalists).drop("_content", "_slice", "_local", "_group")

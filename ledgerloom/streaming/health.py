@@ -15,10 +15,10 @@ from ledgerloom.functions.columns import moment
 from ledgerloom.operators.dedup import first_per
 from ledgerloom.operators.tables import Table
 
-PROGRESS_DDL = ("job STRING, query STRING, event STRING, at TIMESTAMP, input_rate DOUBLE, "
+PROGRESS_DDL = ("job STRING, query STRING, event STRING, logged_at TIMESTAMP, input_rate DOUBLE, "
                 "processed_rate DOUBLE, batch_seconds DOUBLE, input_rows BIGINT, "
                 "end_offset STRING, latest_offset STRING, error STRING")
-REPORT_DDL = "job STRING, batch_id BIGINT, at TIMESTAMP, counter STRING, label STRING, n DOUBLE"
+REPORT_DDL = "job STRING, batch_id BIGINT, logged_at TIMESTAMP, counter STRING, label STRING, n DOUBLE"
 # Readiness, liveness and alert limits.
 READY_SECONDS, LIVE_SECONDS = 120, 600
 NO_PROGRESS_SECONDS, NO_PROGRESS_HOLD = 120, 300
@@ -94,20 +94,20 @@ def topic_backlog(progress: DataFrame) -> DataFrame:
             F.lit(0)))
     return (progress.withColumns({"_latest": offsets("latest_offset"),
                                   "_end": offsets("end_offset")})
-            .select("query", "at", "_end", F.explode("_latest").alias("topic", "parts"))
+            .select("query", "logged_at", "_end", F.explode("_latest").alias("topic", "parts"))
             .withColumn("done", F.try_element_at(F.col("_end"), F.col("topic")))
-            .select("query", "at", "topic", behind.alias("lag")))
+            .select("query", "logged_at", "topic", behind.alias("lag")))
 
 
 def current_backlog(progress: DataFrame) -> DataFrame:
     newest = first_per(progress.filter("latest_offset IS NOT NULL"), ["query"],
-                       [F.col("at").desc(), F.col("latest_offset").desc()])
+                       [F.col("logged_at").desc(), F.col("latest_offset").desc()])
     return topic_backlog(newest).select("query", "topic", "lag")
 
 
 def query_health(progress: DataFrame, now=None, max_age: int = READY_SECONDS) -> DataFrame:
     """Age of the last sign of life, whether the query runs, and whether it is healthy."""
-    at, event = F.col("at"), F.col("event")
+    at, event = F.col("logged_at"), F.col("event")
     alive = F.when(event != "terminated", at)
     lifecycle = F.when(event.isin("started", "terminated"), at)
     age = F.unix_seconds(moment(now)) - F.unix_seconds(F.col("last_seen").cast("timestamp"))
@@ -140,27 +140,27 @@ def slo_breaches(progress: DataFrame, runs: DataFrame, now=None) -> DataFrame:
     """The three alert conditions at `now`. "For five minutes" is part of the condition: it must
     have held at every moment of the trailing interval. All are plain aggregations."""
     clock = moment(now)
-    seconds = F.unix_seconds(F.col("at").cast("timestamp"))
+    seconds = F.unix_seconds(F.col("logged_at").cast("timestamp"))
     now_s = F.unix_seconds(clock)
-    past = progress.filter(F.col("at") <= clock)
+    past = progress.filter(F.col("logged_at") <= clock)
 
     silent = past.filter("event <> 'terminated'").groupBy(F.col("query").alias("subject")).agg(
         (now_s - F.max(seconds) > NO_PROGRESS_SECONDS + NO_PROGRESS_HOLD).alias("breached"))
 
-    total = topic_backlog(past).groupBy("query", "at").agg(F.sum("lag").alias("lag"))
+    total = topic_backlog(past).groupBy("query", "logged_at").agg(F.sum("lag").alias("lag"))
     recent = seconds > now_s - BACKLOG_HOLD
     backlog = total.groupBy(F.col("query").alias("subject")).agg(
         (F.coalesce(F.min(F.when(recent, F.col("lag"))) > BACKLOG_LIMIT, F.lit(True))
-         & F.coalesce(F.max_by("lag", F.when(~recent, F.col("at"))) > BACKLOG_LIMIT,
+         & F.coalesce(F.max_by("lag", F.when(~recent, F.col("logged_at"))) > BACKLOG_LIMIT,
                       F.lit(False))).alias("breached"))
 
-    done = F.max(F.when(F.col("status") == "SUCCESS", F.col("at")))
-    failed = F.max(F.when(F.col("status") == "FAILED", F.col("at")))
+    done = F.max(F.when(F.col("status") == "SUCCESS", F.col("logged_at")))
+    failed = F.max(F.when(F.col("status") == "FAILED", F.col("logged_at")))
     midnight = F.date_trunc("day", clock)
     late = (F.hour(clock) >= REPORT_HOUR) & (F.coalesce(F.col("done") < midnight, F.lit(True)))
     broken = F.col("failed").isNotNull() & F.coalesce(F.col("failed") > F.col("done"),
                                                       F.lit(True))
-    reports = (runs.filter(F.col("at") <= clock).groupBy(F.col("job").alias("subject"))
+    reports = (runs.filter(F.col("logged_at") <= clock).groupBy(F.col("job").alias("subject"))
                .agg(done.alias("done"), failed.alias("failed"))
                .select("subject", (late | broken).alias("breached")))
 
