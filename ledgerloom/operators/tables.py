@@ -10,6 +10,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -108,9 +109,10 @@ class Table:
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partitions).parquet(self.path))
         self._remember(df.schema)
+        metrics = observed(seen)
         if before and current is not None:
-            self.clear(before - {tuple(r) for r in seen.get["written"]}, current.schema)
-        return seen.get["n"]
+            self.clear(before - {tuple(r) for r in metrics.get("written", ())}, current.schema)
+        return metrics.get("n", 0)
 
     def compact(self, key: str, order: list[Column], **filters) -> int:
         """Rewrites the filtered partitions with one row per key in fewer, larger files."""
@@ -140,7 +142,7 @@ class Table:
             new = align(not_in(source, known, key), current.schema)
         seen = Observation()
         self.append(new.observe(seen, F.count(F.lit(1)).alias("n")))
-        return seen.get["n"]
+        return observed(seen).get("n", 0)
 
     def upsert(self, source: DataFrame, key: str, compare: list[str] | None = None) -> None:
         """Insert or update by key, rewriting only the touched partitions.
@@ -209,6 +211,17 @@ class Warehouse:
         return Table(self.spark, f"{self.root}/{layer}/{name}", partitions)
 
 
+def observed(seen: Observation) -> dict:
+    """Metrics of a finished write. When AQE proves the input empty it drops the metrics node,
+    and Spark then reports a row without fields, which Python refuses to convert."""
+    try:
+        return seen.get
+    except Py4JJavaError as e:
+        if "AssertionError" in str(e.java_exception):
+            return {}
+        raise
+
+
 def align(df: DataFrame, schema: StructType) -> DataFrame:
     """`schema`'s columns first (NULL where `df` lacks one), then the columns it adds."""
     kept = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) if f.name in df.columns
