@@ -1,10 +1,13 @@
-"""The given tables seen as bronze tables. The text runs unchanged in Spark SQL and in DuckDB;
-it only shapes inputs, the operators under test are written twice and independently.
+"""The given tables seen as bronze tables. One text serves Spark SQL and DuckDB (but for the
+spelling of "one row per array element"); it only shapes inputs, the operators under test are
+written twice and independently.
 
 Dates are shifted by whole days so that facts fall in 2018-2024: rates start in 2020 (earlier
 rows have no rate) and the fixed clock 2024-01-20 leaves rows in the future."""
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 AS_OF = "2024-01-20 00:00:00"
@@ -29,7 +32,9 @@ def serial(prefix: str, k: str) -> str:
 
 
 # Lines belong to a customer through their order number; the divisor is the customer count.
-LINE_CUSTOMER = "(l_orderkey % (select count(*) from customer))"
+LINE_CUSTOMER = "line_customer"
+LINES = """(select *, l_orderkey % (select count(*) from customer) as line_customer
+            from lineitem) as lines"""
 SHIFT = "interval '8400' day"
 
 ADAPTERS = {
@@ -87,8 +92,7 @@ select {serial('A', 'c_custkey * 5 + k')} as account_id,
        case when (c_custkey + k) % 9 = 0 then 'DORMANT' else 'ACTIVE' end as status,
        'referentials/accounts/full.csv' as _source_file,
        cast('2024-01-02 00:00:00' as timestamp) as _ingested_at
-from customer cross join
-     (select 0 as k union all select 1 union all select 2 union all select 3 union all select 4) kinds""",
+from customer EACH k IN 0, 1, 2, 3, 4""",
     "b_bank": f"""
 select {serial('T', 'o_orderkey')} as transaction_id, o_orderdate + {SHIFT} as event_ts,
        case when o_orderkey % 97 = 0 then 'A-999999999'
@@ -137,7 +141,7 @@ select concat('O-', cast(l_orderkey as string), '-', cast(l_linenumber as string
               '-', lpad(cast(cast(l_quantity as int) as string), 4, '0'), '-',
               cast(cast(l_extendedprice as decimal(20,2)) as string), l_returnflag) as _source_file,
        l_shipdate + {SHIFT} as _ingested_at
-from lineitem""",
+from {LINES}""",
     "b_mm": f"""
 select {serial('M', 'event_id')} as payment_id, ts as event_ts,
        {serial('C', 'user_id')} as sender_id,
@@ -184,7 +188,7 @@ select concat('R-', cast(l_orderkey as string), '-', cast(l_linenumber as string
               '-', lpad(cast(cast(l_quantity as int) as string), 4, '0'), '-',
               cast(cast(l_extendedprice as decimal(20,2)) as string), l_returnflag) as _source_file,
        l_shipdate + {SHIFT} as _ingested_at
-from lineitem""",
+from {LINES}""",
 }
 # Bank rows under the full contract, with the known kinds of bad rows, replays and copies.
 UUID_ID = "concat('00000000-0000-4000-8000-', lpad(cast(o_orderkey as string), 12, '0'))"
@@ -210,11 +214,12 @@ select case when o_orderkey % 37 = 0 then null when o_orderkey % 59 = 0 then 'T-
        case when o_orderkey % 79 = 0 then 'SHOP' else 'BANK' end as entity_type,
        case when o_orderkey % 41 = 0 then concat('broken,', cast(o_orderkey as string)) end
             as _corrupt_record, copy,
+       o_orderkey * 4 + copy as _row_id,
        case when copy = 2 then 'landing/zz-replay.csv'
             else concat('landing/', {country('o_custkey')}, '/bank_transactions/part-',
                         cast(o_orderkey % 16 as string), '.csv') end as _source_file
-from orders join (select 1 as copy union all select 2 union all select 3) copies
-     on copy = 1 or (copy = 2 and o_orderkey % 53 = 0) or (copy = 3 and o_orderkey % 61 = 0)"""
+from orders EACH copy IN 1, case when o_orderkey % 53 = 0 then 2 end, case when o_orderkey % 61 = 0 then 3 end
+where copy is not null"""
 ADAPTERS["d_bank"] = _DIRTY
 
 # Logs shaped from `events`: one progress row per event, one run per user and day.
@@ -253,17 +258,36 @@ BRONZE = {"customers": "b_customers", "branches": "b_branches", "products": "b_p
           "loan_repayments": "b_loans"}
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+_EACH = re.compile(r"EACH (\w+) IN ([^\n]+)")
 
 
-def adapt(spark: SparkSession, folder: str, name: str, text: str | None = None) -> DataFrame:
-    """An adapter as a frame; base tables are bound as views named after them."""
-    for t in TABLES[:8]:
-        table(spark, folder, t).createOrReplaceTempView(t)
-    df = spark.sql(text or ADAPTERS[name])
-    return df.withColumnRenamed("event_ts", "timestamp")
+def spark_text(name: str) -> str:
+    return _EACH.sub(r"lateral view explode(array(\2)) each_one as \1", ADAPTERS[name])
+
+
+def duckdb_text(name: str) -> str:
+    return _EACH.sub(r"cross join unnest([\2]) as each_one(\1)", ADAPTERS[name])
+
 
+SPREAD_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
+             "customer": "c_custkey"}
 
-def bronze(spark: SparkSession, folder: str, *names: str) -> dict[str, DataFrame]:
-    return {n: adapt(spark, folder, BRONZE[n]) for n in names or BRONZE}
+
+def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A given table. The test files hold one row group each, which is one task; such a scan is
+    spread over the cores. A table of many files already has more partitions than that and is
+    left alone."""
+    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores, SPREAD_BY[name])
+    return df
+
+
+def adapt(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """An adapter as a frame; the base tables it names are bound as views."""
+    text = spark_text(name)
+    for t in set(re.findall(r"(?:from|join)\s+(\w+)", text)) & set(TABLES):
+        table(spark, folder, t).createOrReplaceTempView(t)
+    df = spark.sql(text)
+    return df.withColumnRenamed("event_ts", "timestamp") if "event_ts" in df.columns else df

@@ -4,7 +4,7 @@ DataFrame code: the adapters, cleaned versions, silver tables and gold tables.
 Money is checked in integer or decimal arithmetic; ratios are half-up integer divisions."""
 from __future__ import annotations
 
-from ledgerloom.catalog.adapters import ADAPTERS, AS_OF, REPORT_DATE, SECRET
+from ledgerloom.catalog.adapters import ADAPTERS, AS_OF, REPORT_DATE, SECRET, duckdb_text
 
 HORIZON = "timestamp '2024-01-21 00:00:00'"      # the fixed clock plus one day
 TODAY = f"date '{AS_OF[:10]}'"
@@ -54,7 +54,8 @@ def latest(source: str, k: str) -> str:
 ABERRANT = "{a} > 1000000 or {a} <= 0 or event_ts > " + HORIZON
 
 # name -> (names it uses, SQL)
-PARTS: dict[str, tuple[tuple[str, ...], str]] = {n: ((), t) for n, t in ADAPTERS.items()}
+PARTS: dict[str, tuple[tuple[str, ...], str]] = {
+    n: ((), duckdb_text(n)) for n in ADAPTERS}
 PARTS["fx"] = ((), """
 select currency, rate_month, cast(round(1 / per_eur, 10) as decimal(12,10)) as eur_per_unit, source
 from (select 'XOF' as currency, cast(m as date) as rate_month, cast(655.957 as double) as per_eur,

@@ -13,7 +13,7 @@ from ledgerloom.functions import columns as C
 from ledgerloom.functions.money import MONEY, convert_to_eur, fx_rates
 from ledgerloom.functions.validation import check_batch, file_stats, reject_reasons
 from ledgerloom.operators import quality, tables
-from ledgerloom.operators.dedup import latest, mark_copies
+from ledgerloom.operators.dedup import content_hash, latest, mark_copies
 from ledgerloom.plans import gold, ingest, regulatory
 from ledgerloom.sources import landing, topics
 from ledgerloom.streaming import jobs, messages
@@ -220,8 +220,7 @@ def to_message_json(lake):
 
 
 def _dirty(lake):
-    # Numbered right above the scan's projection, where a recomputed task repeats the order.
-    return lake.adapter("d_bank").withColumn("_row_id", F.monotonically_increasing_id())
+    return lake.adapter("d_bank")
 
 
 _ZONE_CURRENCY = "case when country_code in ('CI','SN','ML','BF','GN','TG','BJ') then 'XOF' when country_code = 'GH' then 'GHS' end"
@@ -237,7 +236,6 @@ _REASONS = f"""concat_ws(';',
   case when channel = 'FAX' then 'INVALID_CHANNEL' end,
   case when amount < 0 then 'NEGATIVE_AMOUNT' end,
   case when transaction_id = 'T-1' then 'INVALID_KEY_FORMAT' end)"""
-P.PARTS["d_bank"] = ((), P.ADAPTERS["d_bank"])
 P.PARTS["d_ranked"] = (("d_bank",), f"""
 select *, case when reason = '' then row_number() over (partition by reason = '', transaction_id
                                                         order by _source_file) end as rn
@@ -487,8 +485,8 @@ select operation_id, _source_file, event_ts as "timestamp",
        row_number() over (partition by operation_id order by _source_file) > 1 as is_copy
 from b_insurance""", "b_insurance")
 def dedup_in_batch(lake):
-    rows = lake.bronze("insurance_operations").withColumn("_row_id",
-                                                          F.monotonically_increasing_id())
+    rows = lake.bronze("insurance_operations")
+    rows = rows.withColumn("_row_id", content_hash(rows))
     return mark_copies(rows, "operation_id", "_row_id", newest_file_wins=False).select(
         "operation_id", "_source_file", "timestamp", F.col("_is_copy").alias("is_copy"))
 

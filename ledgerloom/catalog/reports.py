@@ -689,8 +689,6 @@ def table_freshness(lake):
 
 
 # ------------------------------------------------------------------ health
-for _log in ("p_log", "c_log", "r_log"):
-    P.PARTS[_log] = ((), P.ADAPTERS[_log])
 P.PARTS["backlog"] = (("p_log",), """
 select query, logged_at, topic, cast(sum(greatest(latest - done, 0)) as bigint) as lag from (
   select query, logged_at, t.topic, t.part,

@@ -22,10 +22,15 @@ def content_hash(df: DataFrame) -> Column:
 
 
 def latest(df: DataFrame, key: str, order: list[Column] | None = None) -> DataFrame:
-    """The most recently ingested version of each key."""
+    """The most recently ingested version of each key.
+
+    Ties are broken by the row's other columns, which are compared only when the first two are
+    equal. Select the needed columns before: rows that tie on those are interchangeable, and
+    the scan stays narrow."""
     if order is None:
-        order = [F.col("_ingested_at").desc_nulls_last(),
-                 F.col("_source_file").desc_nulls_last(), content_hash(df)]
+        first = ("_ingested_at", "_source_file")
+        order = ([F.col(c).desc_nulls_last() for c in first]
+                 + [F.col(f"`{c}`") for c in df.columns if c not in (key, *first)])
     return first_per(df, [key], order)
 
 
