@@ -3,7 +3,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -31,10 +31,14 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
-def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder named by the cluster; a temporary one only where none is set."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="ledgerloom-checkpoints-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+def durable(df: DataFrame) -> DataFrame:
+    """A frame cut from its lineage: written to the shared checkpoint folder, so it survives lost
+    executors and files that a later step replaces. The folder is the one the cluster names in
+    `spark.checkpoint.dir`; a temporary one is used only where none is set, as in tests."""
+    context = df.sparkSession.sparkContext
+    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if not folder and not context.getCheckpointDir():
+        folder = tempfile.mkdtemp(prefix="ledgerloom-checkpoints-")
+    if folder:
+        context.setCheckpointDir(folder)
+    return df.checkpoint(eager=True)
