@@ -111,7 +111,7 @@ def fx_rates_used(lake):
     months = lake.bronze("bank_transactions").groupBy(
         "currency", C.month_of("timestamp").alias("rate_month")).agg(
             F.count("*").alias("nb_operations"))
-    return months.join(F.broadcast(fx_rates(lake.spark)), ["currency", "rate_month"]).select(
+    return months.join(fx_rates(lake.spark), ["currency", "rate_month"]).select(
         "currency", "rate_month", "eur_per_unit", "source", "nb_operations")
 
 
@@ -151,10 +151,7 @@ select 'mobile_money_payments' as table_name, count(*) filter (event_ts >= times
 from b_mm""", "b_mm")
 def merge_stats(lake):
     batch, stored = _mm_layers(lake)
-    inserted = tables.not_in(batch, stored, "payment_id").agg(F.count("*").alias("inserted"))
-    return (batch.agg(F.count("*").alias("in_batch")).join(F.broadcast(inserted))
-            .select(F.lit("mobile_money_payments").alias("table_name"), "in_batch", "inserted",
-                    (F.col("in_batch") - F.col("inserted")).alias("already_present")))
+    return tables.merge_counts(batch, stored, "payment_id", "mobile_money_payments")
 
 
 def _new_accounts(lake):

@@ -38,12 +38,13 @@ def convert_to_eur(df: DataFrame, fx: DataFrame, at: str | Column,
                    columns: dict[str, str], currency: str = "currency") -> DataFrame:
     """Adds `{source: target}` EUR columns at the rate of the month of `at`; no rate, NULL.
 
-    The rate table holds one row per currency and calendar month (a few thousand rows for
-    decades of history, whatever the data volume), which is what makes the hint safe."""
+    One row per currency and month is far below Spark's broadcast limit, and Spark checks that
+    from the table's size. There is no hint: a rate table that outgrew the limit would be joined
+    by sort-merge, with its hot months split by AQE."""
     at = F.col(at) if isinstance(at, str) else at
-    quotes = F.broadcast(fx.select(F.col("currency").alias("_fx_currency"),
-                                   F.col("rate_month").alias("_fx_month"),
-                                   F.col("eur_per_unit").alias("_fx_rate")))
+    quotes = fx.select(F.col("currency").alias("_fx_currency"),
+                       F.col("rate_month").alias("_fx_month"),
+                       F.col("eur_per_unit").alias("_fx_rate"))
     same_month = F.trunc(at.cast("date"), "month") == F.col("_fx_month")
     joined = df.join(quotes, (F.col(currency) == F.col("_fx_currency")) & same_month, "left")
     converted = {target: in_eur(F.col(source), F.col("_fx_rate"))

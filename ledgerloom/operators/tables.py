@@ -234,6 +234,17 @@ def not_in(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return source.join(target.select(key), key, "left_anti")
 
 
+def merge_counts(source: DataFrame, target: DataFrame, key: str, name: str) -> DataFrame:
+    """Rows in a batch, rows an insert-only merge would add, and rows already there."""
+    offered = source.select(F.lit(1).alias("offered"), F.lit(0).alias("added"))
+    added = not_in(source, target, key).select(F.lit(0).alias("offered"), F.lit(1).alias("added"))
+    return offered.unionByName(added).agg(
+        F.coalesce(F.sum("offered"), F.lit(0)).alias("in_batch"),
+        F.coalesce(F.sum("added"), F.lit(0)).alias("inserted")).select(
+            F.lit(name).alias("table_name"), "in_batch", "inserted",
+            (F.col("in_batch") - F.col("inserted")).alias("already_present"))
+
+
 def changed_or_new(source: DataFrame, target: DataFrame, key: str,
                    compare: list[str]) -> DataFrame:
     """Source rows that are new, or differ from the target in one of `compare`."""
