@@ -173,8 +173,8 @@ def npl_sorted(npl: DataFrame) -> DataFrame:
 
 def npl_latest(npl: DataFrame) -> DataFrame:
     """Totals of the last snapshot, with the group-wide weighted ratio."""
-    last = npl.agg(F.max("as_of_date").alias("as_of_date"))
-    return (npl.filter("loan_type = 'ALL'").join(F.broadcast(last), "as_of_date")
+    last = npl.agg(F.max("as_of_date")).scalar()
+    return (npl.filter((F.col("loan_type") == "ALL") & (F.col("as_of_date") == last))
             .select("country_code", "as_of_date",
                     F.round(F.col("npl_ratio").cast("decimal(20,4)") * 100, 2)
                     .cast("decimal(20,2)").alias("npl_pct"),
@@ -269,9 +269,8 @@ def report_dates(bank_reports: DataFrame) -> DataFrame:
 
 
 def latest_report(reports: DataFrame) -> DataFrame:
-    """Rows of the last report date: a scalar maximum, broadcast as one row."""
-    last = reports.agg(F.max("report_date").alias("report_date"))
-    return reports.join(F.broadcast(last), "report_date")
+    """Rows of the last report date."""
+    return reports.filter(F.col("report_date") == reports.agg(F.max("report_date")).scalar())
 
 
 # ------------------------------------------------------------------ alerts and messages
