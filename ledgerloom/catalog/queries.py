@@ -432,7 +432,7 @@ group by all""", "b_insurance", "fx")
 def join_fx_broadcast(lake):
     ops = lake.bronze("insurance_operations").select(
         F.col("currency").alias("cur"), C.month_of("timestamp").alias("m"))
-    rates = F.broadcast(fx_rates(lake.spark))
+    rates = F.broadcast(fx_rates(lake.spark))      # 132 months, two currencies
     on = (F.col("cur") == F.col("currency")) & (F.col("m") == F.col("rate_month"))
     return (ops.join(rates, on, "left").groupBy(F.col("cur").alias("currency"), "rate_month",
                                                 "eur_per_unit")
