@@ -251,7 +251,7 @@ from events"""
 ADAPTERS["r_log"] = """
 select concat('report-', cast(user_id % 6 as string)) as job, ts as logged_at,
        case when event_id % 3 = 0 then 'FAILED' else 'SUCCESS' end as status
-from events where user_id % 6 <> 5 or ts < timestamp '2024-01-15 00:00:00'"""
+from events"""
 BRONZE = {"customers": "b_customers", "branches": "b_branches", "products": "b_products",
           "accounts": "b_accounts", "bank_transactions": "b_bank",
           "insurance_operations": "b_insurance", "mobile_money_payments": "b_mm",
