@@ -1,6 +1,7 @@
 """Session settings used by the jobs and the tests."""
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,7 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.parquet.compression.codec": "zstd",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -31,14 +33,24 @@ def build_session(app: str, master: str | None = None, **extra: str) -> SparkSes
     return builder.getOrCreate()
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """A frame cut from its lineage: written to the shared checkpoint folder, so it survives lost
-    executors and files that a later step replaces. The folder is the one the cluster names in
-    `spark.checkpoint.dir`; a temporary one is used only where none is set, as in tests."""
-    context = df.sparkSession.sparkContext
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-    if not folder and not context.getCheckpointDir():
-        folder = tempfile.mkdtemp(prefix="ledgerloom-checkpoints-")
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in `spark.checkpoint.dir`, which driver and executors share. Only a local session
+    may do without the setting; it gets a temporary folder, as in tests."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
-        context.setCheckpointDir(folder)
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-checkpoints-"))
+    return context.getCheckpointDir().rstrip("/")
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """A frame cut from its lineage: written to the shared folder, so it survives lost executors
+    and files that a later step replaces. With `spark.cleaner.referenceTracking.cleanCheckpoints`
+    its files go when nothing refers to it any more."""
+    spark = df.sparkSession
+    spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
