@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from ledgerloom.catalog import registry
 from ledgerloom.catalog.adapters import TABLES
 
 FOLDER = os.path.join("/root/testdata", os.environ.get("ORACLE_SF", "sf0.001"))
@@ -37,7 +38,7 @@ def text(value):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(registry.QUERIES) == set(registry.ORACLES)
 
 
 @pytest.mark.parametrize("name", NAMES)
