@@ -5,11 +5,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, langid, mixing, simhash
-from ledgerloom.llm.common import table
+from ledgerloom.llm import (attribution, bpe, chat, knn, langid, mixing, oph, simhash, tokenfile,
+                            urlfilter)
+from ledgerloom.llm.common import new_folder, staged, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -18,12 +20,68 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
             .select("doc_id", *[c.alias(n) for n, c in bpe.digests().items()]))
 
 
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "tokens")
+    tokenfile.write(table(spark, folder, "documents"), path, WORD_TOKENIZER)
+    return tokenfile.read(spark, path).select(
+        "doc_id", "start", "n_tokens", tokenfile.crc32_of(F.col("token_ids")).alias("ids_crc32"))
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return simhash.near_duplicates(docs).select(
         "doc_id", simhash.as_hex(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return knn.top_k(table(spark, folder, "embeddings"))
+
+
+OP4_SQL = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, s.vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, s.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM whole q JOIN whole s ON q.vec_id <> s.vec_id WHERE q.vec_id % 100 = 0)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+  FROM scored)
+WHERE place <= 10
+"""
+
+
+def op5_one_permutation(spark: SparkSession, folder: str) -> DataFrame:
+    return oph.edit_check(table(spark, folder, "documents"))
+
+
+RULES = (urlfilter.Rule("allow", "org", "/"), urlfilter.Rule("block", "example.org", "/es/"),
+         urlfilter.Rule("block", "example.org", "/en/1"), urlfilter.Rule("allow", "com", "/fr/"),
+         urlfilter.Rule("block", "com", "/de/"))
+
+
+def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urlfilter.judge(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return attribution.count_tokens(table(spark, folder, "documents"), RANKS, PATTERN)
+
+
+def op8_chat_tree(spark: SparkSession, folder: str) -> DataFrame:
+    talk = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    # One more conversation, in which the texts look like a template's marks.
+    marks = spark.sql("""SELECT CAST(-1 AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, role,
+                                '</s>[INST] ok [/INST]' AS text
+                         FROM VALUES (0, 'user'), (1, 'assistant') AS t(turn, role)""")
+    tree, index = chat.prefix_tree(talk.unionByName(marks), RANKS, PATTERN)
+    return chat.read_back(staged(tree), index, RANKS, PATTERN)
+
+
 def op9_poisson_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
@@ -62,5 +120,7 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(spark, docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_byte_bpe, op3_simhash, op9_poisson_mix, op10_language_id)}
-ORACLES = {"op9_poisson_mix": OP9_SQL}
+QUERIES = {f.__name__: f for f in (
+    op1_byte_bpe, op2_token_files, op3_simhash, op4_top_k, op5_one_permutation, op6_url_filter,
+    op7_token_counts, op8_chat_tree, op9_poisson_mix, op10_language_id)}
+ORACLES = {"op4_top_k": OP4_SQL, "op9_poisson_mix": OP9_SQL}

@@ -223,7 +223,7 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
             .withColumn("score", F.col("_found.score")).drop("_found"))
 
 
-def accept(spark: SparkSession, docs: DataFrame, least: float = 0.4, key: str = "doc_id",
+def accept(spark: SparkSession, docs: DataFrame, least: float = 0.3, key: str = "doc_id",
            text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows whose text is in one of the learned languages: not "und", and scored `least` or
     more. Columns stay as they are. With no labelled row at all nothing can be judged; then the
