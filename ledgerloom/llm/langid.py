@@ -19,6 +19,8 @@ from ledgerloom.llm.common import crc32_mod, ship_package, text_or_empty
 
 WINDOW = 64
 HIDDEN = 8
+SLOPE = np.float32(0.2)         # gates are piecewise linear: 0.2 x + 0.5, between 0 and 1;
+                                # a candidate is x / (1 + |x|)
 PAD = 256                       # fills up the last window of a text
 #: Bounds of the training sample: rows per language, rows in all, characters taken of each.
 PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS = 256, 8192, 256
@@ -30,7 +32,7 @@ ASCII_LETTER = re.compile("[A-Za-z]")
 
 @dataclass
 class Direction:
-    """x: what each byte adds to the gates (rows: update, reset, candidate); u, b: the same of the
+    """x: what each byte adds to the gates (rows: reset, update, candidate); u, b: the same of the
     state before."""
     x: np.ndarray
     u: np.ndarray
@@ -43,22 +45,50 @@ class Direction:
                          rng.uniform(-scale, scale, (3 * hidden, hidden)).astype(np.float32),
                          np.zeros((3 * hidden, 1), np.float32))
 
-    def run(self, codes: np.ndarray, order: range, keep: bool = False):
-        """States (step, hidden, window), in the order of steps of `codes` (step, window)."""
+    def run(self, codes: np.ndarray, order: range) -> np.ndarray:
+        """States (step, hidden, window), in the order of steps of `codes` (step, window). Slopes
+        and offsets of the gates are worked into the weights, and buffers are used again."""
+        n, width = self.u.shape[1], codes.shape[1]
+        slope = np.array([SLOPE] * (2 * n) + [1] * n, np.float32)[:, None]
+        shift = np.array([0.5] * (2 * n) + [0] * n, np.float32)[:, None]
+        into, u, b = self.x * slope, self.u * slope, self.b * slope + shift
+        states = np.empty((len(codes), n, width), np.float32)
+        x, s = (np.empty((3 * n, width), np.float32) for _ in range(2))
+        c, h = np.empty((n, width), np.float32), np.zeros((n, width), np.float32)
+        r, z, gates = x[:n], x[n:2 * n], x[:2 * n]
+        for t in order:
+            np.take(into, codes[t], axis=1, out=x, mode="clip")
+            np.matmul(u, h, out=s)
+            s += b
+            gates += s[:2 * n]
+            np.clip(gates, 0, 1, out=gates)
+            np.multiply(r, s[2 * n:], out=c)
+            c += x[2 * n:]
+            np.abs(c, out=x[:n])
+            x[:n] += 1
+            c /= x[:n]
+            h -= c
+            h *= z
+            h += c
+            states[t] = h
+        return states
+
+    def run_kept(self, codes: np.ndarray, order: range) -> tuple[np.ndarray, list]:
+        """The same states, with what backpropagation needs of each step."""
         n = self.u.shape[1]
         states = np.empty((len(codes), n, codes.shape[1]), np.float32)
         h, kept = np.zeros(states.shape[1:], np.float32), []
         for t in order:
             x = np.take(self.x, codes[t], axis=1)
             s = self.u @ h + self.b
-            gates = 0.5 + 0.5 * np.tanh(0.5 * (x[:2 * n] + s[:2 * n]))
-            z, r = gates[:n], gates[n:]
-            c = np.tanh(x[2 * n:] + r * s[2 * n:])
-            if keep:
-                kept.append((h, z, r, s[2 * n:], c))
+            gates = np.clip(0.5 + SLOPE * (x[:2 * n] + s[:2 * n]), 0, 1)
+            r, z = gates[:n], gates[n:]
+            c = x[2 * n:] + r * s[2 * n:]
+            c /= 1 + np.abs(c)
+            kept.append((h, z, r, s[2 * n:], c))
             h = c + z * (h - c)
             states[t] = h
-        return (states, kept) if keep else states
+        return states, kept
 
     def back(self, codes: np.ndarray, order: range, kept: list, d_states: np.ndarray) -> list:
         """Gradients of x, u and b."""
@@ -67,11 +97,11 @@ class Direction:
         dh = np.zeros(d_states.shape[1:], np.float32)
         for t, (h, z, r, s, c) in zip(reversed(order), reversed(kept)):
             dh = dh + d_states[t]
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (h - c) * z * (1 - z)
-            dr = dc * s * r * (1 - r)
-            ds = np.concatenate([dz, dr, dc * r])
-            dx = np.concatenate([dz, dr, dc])
+            dc = dh * (1 - z) * (1 - np.abs(c)) ** 2
+            dz = dh * (h - c) * SLOPE * ((z > 0) & (z < 1))
+            dr = dc * s * SLOPE * ((r > 0) & (r < 1))
+            ds = np.concatenate([dr, dz, dc * r])
+            dx = np.concatenate([dr, dz, dc])
             by_code = np.zeros((PAD + 1, 3 * n), np.float32)
             np.add.at(by_code, codes[t], dx.T)
             gx += by_code.T
@@ -114,8 +144,8 @@ class Network:
         per window."""
         steps = range(len(codes))
         n = self.v.shape[1] // 2
-        states, kept = self.ahead.run(codes, steps, keep=True)
-        states_back, kept_back = self.behind.run(codes, steps[::-1], keep=True)
+        states, kept = self.ahead.run_kept(codes, steps)
+        states_back, kept_back = self.behind.run_kept(codes, steps[::-1])
         both = np.concatenate([states, states_back], axis=1)
         out = np.einsum("lh,thb->ltb", self.v, both) + self.c[:, :, None]
         np.exp(out - out.max(axis=0), out=out)
@@ -132,7 +162,7 @@ class Network:
         sums = np.zeros((len(texts), len(self.languages)))
         codes, owner = windows(texts)
         for at in range(0, codes.shape[1], AT_ONCE):
-            part = codes[:, at:at + AT_ONCE]
+            part = codes[:, at:at + AT_ONCE].astype(np.intp)
             own = (self.labels(part) * (part != PAD)).sum(axis=1, dtype=np.float64)
             np.add.at(sums, owner[at:at + AT_ONCE], own.T)
         return sums / np.array([[max(1, len(t))] for t in texts])

@@ -1,15 +1,15 @@
 """The tokenizers library over many texts, with the ids of words kept between texts.
 
 For a tokenizer that drops white space and splits letters, numbers and other signs from each other
-(and 's, 't, 're, 've, 'm, 'll, 'd from what precedes), a text's ids are those of its units: a run
-of letters and digits, the same after an apostrophe, or a run of other signs. Units repeat, so each
-is encoded once per worker. Texts for which this doesn't hold are encoded whole: those with special
-tokens, or with capitals that lower-case to two characters or by their context.
+(and 's, 't, 're, 've, 'm, 'll, 'd from what precedes), a text's ids are those of its words, and a
+word's are those of its units: a run of letters and digits, the same after an apostrophe, or a run
+of other signs. Units repeat, so each is encoded once per worker. Words are taken apart only where
+no version of Unicode differs about it, in Latin script; texts with special tokens are encoded
+whole.
 """
 from __future__ import annotations
 
 import re
-import unicodedata
 from functools import lru_cache
 
 import numpy as np
@@ -19,7 +19,7 @@ from ledgerloom.llm.bpe import WHITE
 UNIT = re.compile(rf"'[^\W_]+|[^\W_]+|(?:[^\w{WHITE}]|_)+")
 #: Entries of each table, after which it is emptied.
 KEPT = 300_000
-WHOLE = re.compile("<\\||İ|Σ")
+LATIN = re.compile("[!-įı-ɏ‐-‧€]*")
 
 
 class WordBpe:
@@ -35,7 +35,8 @@ class WordBpe:
         return np.array(ids, dtype="<u4").tobytes()
 
     def _learn(self, words: list[bytes]) -> None:
-        split = {w: UNIT.findall(w.decode()) for w in words}
+        split = {w: UNIT.findall(t) if LATIN.fullmatch(t) else [t]
+                 for w, t in zip(words, map(bytes.decode, words))}
         new = list({u for units in split.values() for u in units}.difference(self.units))
         if new:
             found = self.tokenizer.encode(new, is_pretokenized=True, add_special_tokens=False)
@@ -56,11 +57,9 @@ class WordBpe:
         unknown: set[bytes] = set()
         for text in texts:
             text = text or ""
-            if WHOLE.search(text):
+            if "<|" in text:
                 out.append(self.whole(text))
                 continue
-            if not text.isascii() and not unicodedata.is_normalized("NFC", text):
-                text = unicodedata.normalize("NFC", text)
             words = text.encode().lower().split()
             unknown.update(w for w in words if w not in self.words)
             out.append(words)

@@ -1,0 +1,186 @@
+"""Byte-level BPE, token files and token attribution, held against their libraries."""
+import hashlib
+import os
+import random
+import zlib
+
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from ledgerloom.llm import attribution, bpe, catalog, tokenfile, wordbpe
+from ledgerloom.llm.common import new_folder
+
+FOLDER = "/root/testdata/sf0.001"
+CODER = bpe.load(catalog.RANKS, catalog.PATTERN)
+PLAIN = tiktoken.Encoding("plain", pat_str=public_tokenizers.PATTERN, special_tokens={},
+                          mergeable_ranks={t: i for i, t in enumerate(CODER.bytes_of)})
+WORDS = wordbpe.WordBpe(catalog.WORD_TOKENIZER)
+TEXTS = st.text(st.one_of(st.sampled_from(" \n\t\r\x0b\x1c\x85\xa0  aZ9é'_-.!<|sStT"),
+                          st.characters(codec="utf-8")), max_size=60)
+
+
+def given_documents():
+    return duckdb.execute(f"SELECT doc_id, text FROM '{FOLDER}/documents.parquet' "
+                          "ORDER BY doc_id").fetchall()
+
+
+def odd_documents(spark):
+    return spark.createDataFrame(
+        [(1, None, "x"), (2, "", "y"), (3, "same text", "z"), (3, "same text", "z"),
+         (None, "no id 12ab\n  end ", None), (4, "word " * 30_000, "long")],
+        "doc_id long, text string, token_ids string")
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS, st.integers(1, 9))
+def test_pieces_encode_as_the_whole_text(text, size):
+    assert CODER.encode(text, size) == PLAIN.encode_ordinary(text)
+    assert CODER.decode(CODER.packed(text)) == text.encode()
+
+
+@pytest.mark.parametrize("space", [" ", "\n", " \n", "\xa0 "])
+@pytest.mark.parametrize("after", ["", "x", "\n", "9", "'s", "é"])
+def test_long_white_space(space, after):
+    text = "a" + space * bpe.RUN_CHARS + after
+    assert CODER.encode(text) == PLAIN.encode_ordinary(text)
+
+
+def test_runs_too_long_for_the_pattern():
+    text = "a" + " " * 1_000_000 + "b" + "c" * 200_000
+    assert CODER.decode(CODER.packed(text)) == text.encode()
+
+
+def test_part_of_a_character_decodes_to_its_bytes():
+    ids = np.frombuffer(CODER.packed("\U0001f9ff"), "<u4")
+    assert len(ids) > 1
+    assert CODER.decode(ids[:1].tobytes()) == "\U0001f9ff".encode()[:len(CODER.bytes_of[ids[0]])]
+
+
+def test_encoded_documents(spark):
+    rows = catalog.op1_byte_bpe(spark, FOLDER).collect()
+    want = {i: PLAIN.encode_ordinary(t or "") for i, t in given_documents()}
+    assert len(rows) == len(want)
+    for r in rows:
+        ids = want[r.doc_id]
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(PLAIN.decode_bytes(ids)).hexdigest()
+
+
+def test_encoding_odd_rows(spark):
+    docs = odd_documents(spark)
+    rows = bpe.encode_documents(docs, catalog.RANKS, catalog.PATTERN).collect()
+    assert len(rows) == 6
+    for r in rows:
+        assert bytes(r.decoded).decode() == (r.text or "")
+    empty = bpe.encode_documents(docs.limit(0), catalog.RANKS, catalog.PATTERN)
+    assert empty.count() == 0 and "token_ids" in empty.columns
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_units_encode_as_the_whole_text(text):
+    assert WORDS.encode_all([text, text]) == [WORDS.whole(text)] * 2
+
+
+@pytest.mark.parametrize("text", ["<|endoftext|>", "<|ENDOFTEXT|> x", "İ!", "ΑΣ.", "é", "don't 'Tis",
+                                  "x''s _'s", "a\x1cb", "½²a"])
+def test_units_of_odd_texts(text):
+    assert WORDS.encode_all([text]) == [WORDS.whole(text)]
+
+
+def test_forgotten_units_are_learned_again(monkeypatch):
+    monkeypatch.setattr(wordbpe, "KEPT", 1)
+    coder = wordbpe.WordBpe(catalog.WORD_TOKENIZER)
+    assert coder.encode_all(["one two three"]) == coder.encode_all(["one two three"])
+
+
+def test_token_files(spark):
+    rows = catalog.op2_token_files(spark, FOLDER).orderBy("doc_id").collect()
+    tokenizer, start = Tokenizer.from_file(catalog.WORD_TOKENIZER), 0
+    documents = given_documents()
+    assert [r.doc_id for r in rows] == [i for i, _ in documents]
+    for r, (_, text) in zip(rows, documents):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [1]
+        assert (r.start, r.n_tokens) == (start, len(ids))
+        assert r.ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+
+
+def test_token_files_of_odd_rows(spark):
+    path = new_folder(spark, "tokens")
+    tokenfile.write(odd_documents(spark), path, catalog.WORD_TOKENIZER)
+    rows = tokenfile.read(spark, path).orderBy("start").collect()
+    assert [r.doc_id for r in rows] == [None, 1, 2, 3, 3, 4]
+    assert [r.start for r in rows][1:] == list(np.cumsum([r.n_tokens for r in rows])[:-1])
+    assert rows[1].token_ids == rows[2].token_ids == [1]
+    empty = new_folder(spark, "tokens")
+    tokenfile.write(odd_documents(spark).limit(0), empty, catalog.WORD_TOKENIZER)
+    assert tokenfile.read(spark, empty).count() == 0
+
+
+def test_token_files_are_pruned(spark):
+    path = new_folder(spark, "tokens")
+    tokenfile.write(spark.read.parquet(f"{FOLDER}/documents.parquet"), path, catalog.WORD_TOKENIZER)
+    found = tokenfile.read(spark, path, [7, 11])
+    assert sorted(r.doc_id for r in found.collect()) == [7, 11]
+    assert "In(doc_id, [7,11])" in found._jdf.queryExecution().toString()
+    whole = {r.doc_id: r.start for r in tokenfile.read(spark, path).collect()}
+    assert all(whole[r.doc_id] == r.start for r in found.collect())
+
+
+def naive_counts(text, rule):
+    """Section of each token, one character at a time."""
+    ids, sections, start = PLAIN.encode_ordinary(text), [], 0
+    for line in text.splitlines(keepends=True) if text else [""]:
+        sections.append([start, start + len(line), 0, 0])
+        start += len(line)
+    owner = [k for k, s in enumerate(sections) for _ in range(s[0], s[1])]
+    char_of_byte = [k for k, c in enumerate(text) for _ in c.encode()]
+    at = 0
+    for i in ids:
+        width = len(CODER.bytes_of[i])
+        first, last = char_of_byte[at], char_of_byte[at + width - 1]
+        at += width
+        own = [owner[c] for c in range(first, last + 1)]
+        k = {"start": own[0], "end": own[-1], "most": max(sorted(set(own)), key=own.count)}[rule]
+        sections[k][2] += 1
+        sections[k][3] += own[0] != own[-1]
+    return [tuple(s) for s in sections]
+
+
+@pytest.mark.parametrize("rule", attribution.RULES)
+def test_attribution(spark, rule):
+    rng = random.Random(3)
+    texts = ["", "\n", "\n\n\na\n", "é\n\U0001f9ff\n\n \n x"]
+    texts += ["".join(rng.choices("ab é\n \U0001f9ff", k=rng.randrange(80))) for _ in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = attribution.count_tokens(docs, catalog.RANKS, catalog.PATTERN, rule=rule).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: (r.doc_id, r.section)):
+        got.setdefault(r.doc_id, []).append((r.first_char, r.end_char, r.n_tokens, r.n_crossing))
+    assert got == {i: naive_counts(t, rule) for i, t in enumerate(texts)}
+
+
+def test_attribution_of_odd_rows(spark):
+    docs = odd_documents(spark).withColumn("section", F.lit("clash"))
+    rows = attribution.count_tokens(docs, catalog.RANKS, catalog.PATTERN).collect()
+    assert sorted((r.n_tokens for r in rows if r.doc_id in (1, 2))) == [0, 0]
+    assert len(rows) == 7                                   # one text has two lines
+    assert attribution.count_tokens(docs.limit(0), catalog.RANKS, catalog.PATTERN).count() == 0
+
+
+def test_attribution_adds_up(spark):
+    rows = (catalog.op7_token_counts(spark, FOLDER).groupBy("doc_id")
+            .agg(F.sum("n_tokens").alias("n")).collect())
+    want = {i: len(PLAIN.encode_ordinary(t or "")) for i, t in given_documents()}
+    assert {r.doc_id: r.n for r in rows} == want
