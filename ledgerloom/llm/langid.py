@@ -26,6 +26,7 @@ PAD = 256                       # fills up the last window of a text
 PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS = 256, 8192, 256
 UPDATES, BATCH, RATE, SEED = 160, 256, 0.02, 17
 AT_ONCE = 2048                  # windows computed together
+TEXTS_AT_ONCE = 500             # texts cut into windows together
 UNKNOWN = "und"
 ASCII_LETTER = re.compile("[A-Za-z]")
 
@@ -240,10 +241,11 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
         found = texts.to_pylist()
         read = [k for k, t in enumerate(found) if own.languages and has_letter(t)]
         names, scores = [UNKNOWN] * len(found), np.zeros(len(found))
-        if read:
-            pooled = own.pooled([found[k].encode() for k in read])
-            scores[read] = pooled.max(axis=1)
-            for k, best in zip(read, pooled.argmax(axis=1).tolist()):
+        for at in range(0, len(read), TEXTS_AT_ONCE):
+            few = read[at:at + TEXTS_AT_ONCE]
+            pooled = own.pooled([found[k].encode() for k in few])
+            scores[few] = pooled.max(axis=1)
+            for k, best in zip(few, pooled.argmax(axis=1).tolist()):
                 names[k] = own.languages[best]
         return pa.StructArray.from_arrays([pa.array(names), pa.array(np.clip(scores, 0, 1))],
                                           ["lang_pred", "score"])
