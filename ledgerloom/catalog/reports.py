@@ -390,17 +390,18 @@ def burst_members(lake):
 
 
 @query(f"""
-select b.alert_id, b.window_start, {obj(
-    nb_transactions="json_extract_string(b.details, '$.nb_transactions')",
-    transaction_ids="'[\"' || string_agg(w.transaction_id, '\",\"' order by w.transaction_id) || '\"]'",
-    threshold_xof_per_txn="'100000'")} as details
+select b.alert_id, b.window_start, b.details, count(*) as members
 from bursts b join wallet_windows w on w.account_key = b.subject_key and w.country_code = b.country_code
      and w.w_start = b.window_start where w.amount_eur > {SMALL_EUR}
 group by b.alert_id, b.window_start, b.details""", "bursts", "wallet_windows")
 def burst_alert_details(lake):
+    """Alerts beside the number of their member rows, which `nb_transactions` must equal."""
     flows = lake.wallet_flows()
-    return A.with_member_ids(A.burst_alerts(flows, AS_OF, SMALL), flows, SMALL).select(
-        "alert_id", "window_start", "details")
+    alerts = A.burst_alerts(flows, AS_OF, SMALL)
+    members = A.burst_members(alerts, flows, SMALL).groupBy("alert_id", "window_start").agg(
+        F.count("*").alias("members"))
+    return alerts.join(members, ["alert_id", "window_start"]).select(
+        "alert_id", "window_start", "details", "members")
 
 
 P.PARTS["unusual"] = (("s_mm",), alert(

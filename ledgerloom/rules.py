@@ -40,9 +40,6 @@ class Rules:
     repeat_seconds: int = 300
     repeat_history_minutes: int = 60
     claim_sla_days: int = 30
-    # Alerts carry their transaction ids inline up to this many; all ids of every alert are
-    # in the member table (`streaming.alerts.burst_members`).
-    inline_members: int = 1_000
 
     @property
     def high_value_eur(self) -> Decimal:
