@@ -35,7 +35,7 @@ class Lake:
 
     def split(self, name: str) -> silver.Split:
         if name not in self._silver:
-            lookups = {n: self.bronze(n) for n in silver.BUILDERS[name][1]}
+            lookups = {n: self.bronze(n) for n in silver.TABLES[name].inputs}
             self._silver[name] = silver.build_one(name, self.bronze(name), lookups, self.context)
         return self._silver[name]
 
@@ -43,15 +43,14 @@ class Lake:
         return self.split(name).clean.drop("_bronze_ingested_at")
 
     def quarantine(self) -> DataFrame:
-        held = [self.split(n).quarantine for n in silver.BUILDERS if silver.BUILDERS[n][1]]
+        held = [self.split(n).quarantine for n in silver.TABLES if silver.TABLES[n].checks]
         out = held[0]
         for df in held[1:]:
             out = out.unionByName(df)
         return out
 
     def gold(self, name: str) -> DataFrame:
-        inputs = {n: self.silver(n) for n in gold.BUILDERS[name][1]}
-        return gold.build_gold(inputs, [name], TODAY)[name]
+        return gold.build(name, {n: self.silver(n) for n in gold.TABLES[name].inputs}, TODAY)
 
     def bank_report(self) -> DataFrame:
         names = ("bank_transactions", "mobile_money_payments", "accounts", "loan_repayments")

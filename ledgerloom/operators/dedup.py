@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 COPY_SPREAD = 64
+LINEAGE_ORDER = ("_ingested_at", "_source_file", "_row_position")
 
 
 def first_per(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -22,15 +23,13 @@ def content_hash(df: DataFrame) -> Column:
 
 
 def latest(df: DataFrame, key: str, order: list[Column] | None = None) -> DataFrame:
-    """The most recently ingested version of each key.
+    """The most recently ingested version of each key, by time, file, and place in the file.
 
-    Ties are broken by the row's other columns, which are compared only when the first two are
-    equal. Select the needed columns before: rows that tie on those are interchangeable, and
-    the scan stays narrow."""
+    Only those are compared, never the row's content, so the columns that nobody asks for are
+    neither scanned nor shuffled. The place is stored at ingestion; a table without it has one
+    row per key and file."""
     if order is None:
-        first = ("_ingested_at", "_source_file")
-        order = ([F.col(c).desc_nulls_last() for c in first]
-                 + [F.col(f"`{c}`") for c in df.columns if c not in (key, *first)])
+        order = [F.col(c).desc_nulls_last() for c in LINEAGE_ORDER if c in df.columns]
     return first_per(df, [key], order)
 
 

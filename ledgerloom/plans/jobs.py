@@ -2,15 +2,17 @@
 partitions."""
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import day, moment, month_of
 from ledgerloom.functions.money import fx_rates
-from ledgerloom.operators.quality import assert_unique
 from ledgerloom.operators.tables import Warehouse
 from ledgerloom.plans import gold, regulatory, silver
 from ledgerloom.rules import COUNTRIES, DEFAULT_RULES, Rules
+from ledgerloom.session import durable
 
 QUARANTINE_PARTITIONS = ("dataset", "country_code")
 
@@ -27,37 +29,37 @@ def _by_country(df: DataFrame, countries: list[str] | None) -> DataFrame:
 
 
 def run_silver(warehouse: Warehouse, secret: str, countries: list[str] | None = None,
-               names: tuple[str, ...] = tuple(silver.BUILDERS), as_of=None,
+               names: tuple[str, ...] = tuple(silver.TABLES), as_of=None,
                rules: Rules = DEFAULT_RULES) -> dict[str, int]:
-    """Rows written per table. `names` may be a subset, `countries` limits the result."""
+    """Rows written per table. `names` may be a subset, `countries` limits the result.
+
+    Each table's joins run once: the rows are staged with the reasons against them, and clean rows
+    and quarantine are written from there. Keys are unique by construction (`latest`);
+    `quality.assert_unique` is there for a check on its own."""
     spark = warehouse.spark
     scope = known_countries(countries)
     rates = warehouse.table("silver", "fx_rates")
     rates.replace(fx_rates(spark).coalesce(1))
-    bronze = {n: warehouse.table("bronze", n).read()
-              for n in {*names, *silver.BUILDERS} if n in names or n in (
-                  "customers", "accounts", "branches", "products")}
+    looked_up = {i for n in names for i in silver.TABLES[n].inputs}
+    bronze = {n: warehouse.table("bronze", n).read() for n in {*names, *looked_up}}
     ctx = silver.Context(rates.read(), secret, as_of, rules)
-    tables, quarantine = silver.build_silver(bronze, ctx, countries and scope, names)
-    written = {}
-    for name, df in tables.items():
-        partitions = silver.PARTITIONS[name]
-        if "event_month" in partitions:
-            df = df.withColumn("event_month", month_of("timestamp"))
-        table = warehouse.table("silver", name, partitions)
-        df = df.withColumn("_silver_processed_at", moment(as_of))
-        written[name] = table.replace_scope(
-            df, F.col("country_code").isin(*scope) if countries else F.lit(True))
-        assert_unique(table.read(countries=scope), silver.KEYS[name], f"silver.{name}")
-    if quarantine is not None:
-        held = quarantine.persist()
-        datasets = [n for n in names if n not in ("customers", "branches", "products")]
-        scoped = F.col("dataset").isin(*datasets)
-        if countries:
-            scoped = scoped & F.col("country_code").isin(*scope)
+    place = F.col("country_code").isin(*scope) if countries else F.lit(True)
+    written, held = {}, []
+    for name in names:
+        built = silver.build_one(name, bronze[name], bronze, ctx)
+        once = silver.Split(durable(built.rows), name, as_of)
+        clean = once.clean.filter(place).withColumn("_silver_processed_at", moment(as_of))
+        if "event_month" in silver.PARTITIONS[name]:
+            clean = clean.withColumn("event_month", month_of("timestamp"))
+        written[name] = warehouse.table("silver", name, silver.PARTITIONS[name]).replace_scope(
+            clean, place)
+        if silver.TABLES[name].checks:
+            held.append(once.quarantine.filter(place))
+    if held:
+        checked = [n for n in names if silver.TABLES[n].checks]
         written["silver_quarantine"] = warehouse.table(
-            "audit", "silver_quarantine", QUARANTINE_PARTITIONS).replace_scope(held, scoped)
-        held.unpersist()
+            "audit", "silver_quarantine", QUARANTINE_PARTITIONS).replace_scope(
+                reduce(DataFrame.unionByName, held), F.col("dataset").isin(*checked) & place)
     return written
 
 
@@ -65,28 +67,39 @@ def run_gold(warehouse: Warehouse, countries: list[str] | None = None,
              names: list[str] | None = None, as_of=None) -> dict[str, int]:
     """Events are read for the asked countries only (partition pruning), referentials whole."""
     scope = countries and known_countries(countries)
-    names = names or gold.tables_of()
-    inputs = {i for n in names for i in gold.BUILDERS[n][1]}
+    names = names or list(gold.TABLES)
     referential = {"customers", "accounts"}
     frames = {n: warehouse.table("silver", n, silver.PARTITIONS[n]).read(
-        countries=None if n in referential else scope) for n in inputs}
+        countries=None if n in referential else scope)
+        for n in {i for name in names for i in gold.TABLES[name].inputs}}
     written = {}
-    for name, df in gold.build_gold(frames, names, as_of).items():
-        stamped = _by_country(df, scope).withColumn("_gold_computed_at", moment(as_of))
+    for name in names:
+        df = _by_country(gold.build(name, frames, as_of), scope)
         written[name] = warehouse.table("gold", name, ("country_code",)).replace_scope(
-            stamped, F.col("country_code").isin(*scope) if scope else F.lit(True))
+            df.withColumn("_gold_computed_at", moment(as_of)),
+            F.col("country_code").isin(*scope) if scope else F.lit(True))
     return written
 
 
+def report_inputs(warehouse: Warehouse, report_date) -> dict[str, DataFrame]:
+    """Silver as far as a report of that day needs it: payments of the day, insurance from the first
+    of the month, repayments up to the day. Months are partitions, so the rest is not read."""
+    first = f"{str(report_date)[:7]}-01"
+    last = str(report_date)[:10]
+    spans = {"bank_transactions": (last, last), "mobile_money_payments": (last, last),
+             "insurance_operations": (first, last), "loan_repayments": (None, last),
+             "accounts": (None, None)}
+    return {n: warehouse.table("silver", n, silver.PARTITIONS[n]).read(since=since, until=until)
+            for n, (since, until) in spans.items()}
+
+
 def run_regulatory(warehouse: Warehouse, export_root: str, report_date,
                    countries: list[str] | None = None,
                    rules: Rules = DEFAULT_RULES) -> dict[str, int]:
     """Both reports of day D as tables and as one CSV file per report date and country. The
     reports are aggregates per country and product, so one task per country writes them."""
     scope = countries and known_countries(countries)
-    needed = ("bank_transactions", "mobile_money_payments", "loan_repayments", "accounts",
-              "insurance_operations")
-    frames = {n: warehouse.table("silver", n, silver.PARTITIONS[n]).read() for n in needed}
+    frames = report_inputs(warehouse, report_date)
     if frames["accounts"].isEmpty():
         raise ValueError("silver.accounts is empty: nothing to report")
     written = {}

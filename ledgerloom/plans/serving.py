@@ -7,11 +7,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.lookup import full_outer_hot
-from ledgerloom.plans.gold import BUILDERS
+from ledgerloom.plans.gold import TABLES
 from ledgerloom.rules import COUNTRIES
 
 # Which roles may read which tables.
-KPI_TABLES = tuple(BUILDERS)
+KPI_TABLES = tuple(TABLES)
 COMPLIANCE_TABLES = ("regulatory_bceao_daily", "regulatory_cima_daily", "aml_events",
                      "fraud_alerts", "liquidity_alerts", "npl_ratio_by_country",
                      "loss_ratio_by_product", "claims_processing_time")
