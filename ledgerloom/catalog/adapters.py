@@ -224,7 +224,7 @@ ADAPTERS["d_bank"] = _DIRTY
 
 # Logs shaped from `events`: one progress row per event, one run per user and day.
 ADAPTERS["p_log"] = """
-select 'silver_to_gold' as job,
+select 'silver_to_gold' as job, 'kafka' as source,
        case event_type when 'click' then 'event_rules' when 'view' then 'fraud_bursts'
             when 'error' then 'liquidity' else 'raw_to_silver' end as query,
        case when event_id % 997 = 0 then 'started' when event_id % 1301 = 0 then 'terminated'

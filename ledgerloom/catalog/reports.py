@@ -570,7 +570,7 @@ def _raw_messages(lake):
     words = F.when(F.col("transaction_type") == "GIFT", "many").otherwise(
         F.col("amount").cast("string"))
     body = F.to_json(F.struct(*fields, words.alias("amount"), number.alias("ignored")))
-    broken = F.when(F.col("_corrupt_record").isNotNull(), F.substring(body, 2, 100000))
+    broken = F.when(F.col("_corrupt_record").isNotNull(), F.substring(body, F.lit(2), F.length(body)))
     key = F.hash("transaction_id", "account_id", "amount", "fee_amount").cast("bigint")
     return rows.select(F.coalesce(broken, body).alias("value"),
                        F.lit("raw-bank-transactions").alias("topic"),
@@ -613,7 +613,7 @@ select 'rejected', case when _corrupt_record is null then transaction_id end, st
 from d_stream where stream_reason <> '' group by 2, 3""", "d_stream")
 def parse_messages(lake):
     """Valid rows once per key; rejected ones with their reasons, repeats not reported."""
-    batch = messages.parse_messages(_raw_messages(lake), BANK_TRANSACTIONS, 7, AS_OF)
+    batch = messages.check_messages(_raw_messages(lake), BANK_TRANSACTIONS, 7, AS_OF)
     valid = batch.valid.select(F.lit("valid").alias("side"),
                                F.col("transaction_id").alias("record_key"),
                                F.lit("").alias("reject_reason"))
@@ -623,9 +623,9 @@ def parse_messages(lake):
 
 
 def _letters(lake):
-    rejected = messages.parse_messages(_raw_messages(lake), BANK_TRANSACTIONS, 7, AS_OF).rejected
-    return messages.dead_letters(rejected, "bank_transactions", "raw", AS_OF).unionByName(
-        messages.quarantine_letters(lake.quarantine()))
+    rejected = messages.check_messages(_raw_messages(lake), BANK_TRANSACTIONS, 7, AS_OF).rejected
+    return messages.letters(rejected, "raw", AS_OF).unionByName(
+        messages.letters(lake.quarantine(), "silver"))
 
 
 @query(f"""
@@ -633,7 +633,7 @@ select record_key as key, {obj(stage="'\"silver\"'", dataset=q('dataset'), recor
        country_code=q('country_code'), reject_reason=q('reason'),
        detected_at="'\"2024-01-20T00:00:00.000\"'")} as value from quarantine""", "quarantine")
 def dlq_records(lake):
-    return messages.quarantine_letters(lake.quarantine())
+    return messages.letters(lake.quarantine(), "silver")
 
 
 @query("""

@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import cached_property
 
 from pyspark.sql.types import StringType, StructField, StructType
@@ -10,14 +10,32 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ledgerloom.rules import COUNTRIES, CURRENCIES, ENTITY_TYPES, XOF_ZONE
 
 CORRUPT = "_corrupt_record"
-LINEAGE_DDL = "_source_file STRING, _batch_id STRING, _ingested_at TIMESTAMP"
+LINEAGE_DDL = ("_source_file STRING, _batch_id STRING, _ingested_at TIMESTAMP, "
+               "_row_position BIGINT")
+# What an envelope adds to a record.
+ENVELOPE = ("ingestion_timestamp", "source_file", "landed_at")
 # Key formats. A random (version 4) UUID for events, and for referentials
 # an issuer prefix, country, kind letter and serial number.
 UUID4 = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
 
 
-def serial_id(kind: str, digits: int) -> str:
-    return f"^[A-Z]+-[A-Z]{{2}}-{kind}-[0-9]{{{digits},}}$"
+@dataclass(frozen=True)
+class Field:
+    name: str
+    type: str
+    required: bool
+
+
+def required(name: str, kind: str) -> Field:
+    return Field(name, kind, True)
+
+
+def optional(name: str, kind: str) -> Field:
+    return Field(name, kind, False)
+
+
+def serial_id(kind: str, digits: int, issuer: str = "[A-Z]+") -> str:
+    return f"^{issuer}-[A-Z]{{2}}-{kind}-[0-9]{{{digits},}}$"
 
 
 def _quoted(values) -> str:
@@ -28,37 +46,28 @@ def _quoted(values) -> str:
 class Contract:
     name: str
     kind: str                       # "event" or "referential"
-    ddl: str                        # a `!` after the type marks a required field
+    fields: tuple[Field, ...]
     key_format: str
     allowed: dict[str, tuple[str, ...]] = field(default_factory=dict)
     not_negative: tuple[str, ...] = ()
     country: str = "country_code"
     currency: str | None = "currency"
 
-    @cached_property
-    def _columns(self) -> list[tuple[str, str, bool]]:
-        """(name, type, required); commas inside DECIMAL(20,2) do not split."""
-        out = []
-        for line in self.ddl.strip().splitlines():
-            name, sql_type = line.strip().rstrip(",").split(" ", 1)
-            out.append((name, sql_type.rstrip("!"), sql_type.endswith("!")))
-        return out
-
     @property
     def columns(self) -> list[str]:
-        return [name for name, _, _ in self._columns]
+        return [f.name for f in self.fields]
 
     @property
     def key(self) -> str:
-        return self.columns[0]
+        return self.fields[0].name
 
     @property
     def required(self) -> list[str]:
-        return [name for name, _, needed in self._columns if needed]
+        return [f.name for f in self.fields if f.required]
 
     @cached_property
     def schema(self) -> StructType:
-        return StructType.fromDDL(", ".join(f"`{n}` {t}" for n, t, _ in self._columns))
+        return StructType.fromDDL(", ".join(f"`{f.name}` {f.type}" for f in self.fields))
 
     @property
     def read_schema(self) -> StructType:
@@ -67,7 +76,7 @@ class Contract:
     @property
     def message_schema(self) -> StructType:
         """Messages carry every field as text, plus the envelope fields."""
-        names = [*self.columns, "ingestion_timestamp", "source_file", "landed_at", CORRUPT]
+        names = [*self.columns, *ENVELOPE, CORRUPT]
         return StructType([StructField(n, StringType()) for n in names])
 
     @property
@@ -115,76 +124,53 @@ def expected_currency_sql(country: str) -> str:
 # Fields, required marks and allowed codes of the eight datasets.
 CUSTOMERS = Contract(
     "customers", "referential",
-    """customer_id STRING!
-    country_code STRING!
-    entity_type STRING!
-    segment STRING!
-    kyc_level STRING!
-    onboarding_date DATE!
-    region STRING
-    is_active BOOLEAN!""",
+    (required("customer_id", "STRING"), required("country_code", "STRING"),
+     required("entity_type", "STRING"), required("segment", "STRING"),
+     required("kyc_level", "STRING"), required("onboarding_date", "DATE"),
+     optional("region", "STRING"), required("is_active", "BOOLEAN")),
     serial_id("C", 6), currency=None,
     allowed={"segment": ("RETAIL", "SME", "CORPORATE", "PREMIUM"),
              "kyc_level": ("BASIC", "STANDARD", "ENHANCED")})
 
 ACCOUNTS = Contract(
     "accounts", "referential",
-    """account_id STRING!
-    customer_id STRING!
-    country_code STRING!
-    entity_type STRING!
-    account_type STRING!
-    product_id STRING
-    currency STRING!
-    balance DECIMAL(20,2)!
-    credit_limit DECIMAL(20,2)
-    opened_date DATE!
-    status STRING!""",
+    (required("account_id", "STRING"), required("customer_id", "STRING"),
+     required("country_code", "STRING"), required("entity_type", "STRING"),
+     required("account_type", "STRING"), optional("product_id", "STRING"),
+     required("currency", "STRING"), required("balance", "DECIMAL(20,2)"),
+     optional("credit_limit", "DECIMAL(20,2)"), required("opened_date", "DATE"),
+     required("status", "STRING")),
     serial_id("A", 7), not_negative=("credit_limit",),
     allowed={"account_type": ("CURRENT", "SAVINGS", "LOAN", "MOBILE_WALLET", "INSURANCE_POLICY"),
              "status": ("ACTIVE", "FROZEN", "CLOSED", "DORMANT")})
 
 BRANCHES = Contract(
     "branches", "referential",
-    """branch_id STRING!
-    country_code STRING!
-    entity_type STRING!
-    city STRING!
-    region STRING
-    branch_type STRING!
-    is_active BOOLEAN""",
+    (required("branch_id", "STRING"), required("country_code", "STRING"),
+     required("entity_type", "STRING"), required("city", "STRING"),
+     optional("region", "STRING"), required("branch_type", "STRING"),
+     optional("is_active", "BOOLEAN")),
     serial_id("B", 3), currency=None,
     allowed={"branch_type": ("FULL_SERVICE", "DIGITAL_ONLY", "AGENCY_BANKING", "ATM_POINT")})
 
 PRODUCTS = Contract(
     "products", "referential",
-    """product_id STRING!
-    product_name STRING!
-    product_category STRING!
-    entity_type STRING!
-    country_code STRING!
-    currency STRING!
-    interest_rate DECIMAL(6,2)
-    monthly_fee DECIMAL(20,2)
-    launch_date DATE
-    is_active BOOLEAN""",
+    (required("product_id", "STRING"), required("product_name", "STRING"),
+     required("product_category", "STRING"), required("entity_type", "STRING"),
+     required("country_code", "STRING"), required("currency", "STRING"),
+     optional("interest_rate", "DECIMAL(6,2)"), optional("monthly_fee", "DECIMAL(20,2)"),
+     optional("launch_date", "DATE"), optional("is_active", "BOOLEAN")),
     serial_id("P", 3), not_negative=("interest_rate", "monthly_fee"))
 
 BANK_TRANSACTIONS = Contract(
     "bank_transactions", "event",
-    """transaction_id STRING!
-    timestamp TIMESTAMP!
-    account_id STRING!
-    beneficiary_account STRING
-    branch_id STRING!
-    country_code STRING!
-    transaction_type STRING!
-    amount DECIMAL(20,2)!
-    currency STRING!
-    channel STRING
-    transaction_status STRING!
-    fee_amount DECIMAL(20,2)
-    entity_type STRING!""",
+    (required("transaction_id", "STRING"), required("timestamp", "TIMESTAMP"),
+     required("account_id", "STRING"), optional("beneficiary_account", "STRING"),
+     required("branch_id", "STRING"), required("country_code", "STRING"),
+     required("transaction_type", "STRING"), required("amount", "DECIMAL(20,2)"),
+     required("currency", "STRING"), optional("channel", "STRING"),
+     required("transaction_status", "STRING"), optional("fee_amount", "DECIMAL(20,2)"),
+     required("entity_type", "STRING")),
     UUID4, not_negative=("amount", "fee_amount"),
     allowed={"transaction_type": ("TRANSFER", "PAYMENT", "WITHDRAWAL", "DEPOSIT",
                                   "INTERNATIONAL_WIRE"),
@@ -193,18 +179,12 @@ BANK_TRANSACTIONS = Contract(
 
 INSURANCE_OPERATIONS = Contract(
     "insurance_operations", "event",
-    """operation_id STRING!
-    timestamp TIMESTAMP!
-    customer_id STRING!
-    account_id STRING!
-    country_code STRING!
-    operation_type STRING!
-    product_line STRING!
-    amount DECIMAL(20,2)!
-    currency STRING!
-    claim_status STRING
-    processing_days INT
-    entity_type STRING!""",
+    (required("operation_id", "STRING"), required("timestamp", "TIMESTAMP"),
+     required("customer_id", "STRING"), required("account_id", "STRING"),
+     required("country_code", "STRING"), required("operation_type", "STRING"),
+     required("product_line", "STRING"), required("amount", "DECIMAL(20,2)"),
+     required("currency", "STRING"), optional("claim_status", "STRING"),
+     optional("processing_days", "INT"), required("entity_type", "STRING")),
     UUID4, not_negative=("amount", "processing_days"),
     allowed={"operation_type": ("PREMIUM_PAYMENT", "CLAIM_SUBMISSION", "CLAIM_PAYMENT",
                                 "POLICY_RENEWAL", "POLICY_CANCELLATION"),
@@ -213,19 +193,13 @@ INSURANCE_OPERATIONS = Contract(
 
 MOBILE_MONEY_PAYMENTS = Contract(
     "mobile_money_payments", "event",
-    """payment_id STRING!
-    timestamp TIMESTAMP!
-    sender_id STRING!
-    receiver_id STRING!
-    sender_country STRING!
-    receiver_country STRING!
-    amount DECIMAL(20,2)!
-    currency STRING!
-    payment_type STRING!
-    operator STRING
-    status STRING!
-    fee_amount DECIMAL(20,2)
-    entity_type STRING!""",
+    (required("payment_id", "STRING"), required("timestamp", "TIMESTAMP"),
+     required("sender_id", "STRING"), required("receiver_id", "STRING"),
+     required("sender_country", "STRING"), required("receiver_country", "STRING"),
+     required("amount", "DECIMAL(20,2)"), required("currency", "STRING"),
+     required("payment_type", "STRING"), optional("operator", "STRING"),
+     required("status", "STRING"), optional("fee_amount", "DECIMAL(20,2)"),
+     required("entity_type", "STRING")),
     UUID4, not_negative=("amount", "fee_amount"), country="sender_country",
     allowed={"payment_type": ("P2P", "MERCHANT_PAYMENT", "BILL_PAYMENT", "AIRTIME",
                               "CROSS_BORDER_TRANSFER"),
@@ -234,20 +208,13 @@ MOBILE_MONEY_PAYMENTS = Contract(
 
 LOAN_REPAYMENTS = Contract(
     "loan_repayments", "event",
-    """repayment_id STRING!
-    timestamp TIMESTAMP!
-    loan_account_id STRING!
-    customer_id STRING!
-    country_code STRING!
-    amount_due DECIMAL(20,2)!
-    amount_paid DECIMAL(20,2)!
-    currency STRING!
-    due_date DATE!
-    payment_date DATE
-    days_overdue INT!
-    loan_type STRING!
-    repayment_status STRING!
-    entity_type STRING!""",
+    (required("repayment_id", "STRING"), required("timestamp", "TIMESTAMP"),
+     required("loan_account_id", "STRING"), required("customer_id", "STRING"),
+     required("country_code", "STRING"), required("amount_due", "DECIMAL(20,2)"),
+     required("amount_paid", "DECIMAL(20,2)"), required("currency", "STRING"),
+     required("due_date", "DATE"), optional("payment_date", "DATE"),
+     required("days_overdue", "INT"), required("loan_type", "STRING"),
+     required("repayment_status", "STRING"), required("entity_type", "STRING")),
     UUID4, not_negative=("amount_due", "amount_paid", "days_overdue"),
     allowed={"loan_type": ("CONSUMER", "MORTGAGE", "SME", "AGRICULTURAL", "MICROCREDIT"),
              "repayment_status": ("ON_TIME", "LATE", "DEFAULT")})
@@ -259,7 +226,16 @@ REFERENTIALS = [n for n, c in CONTRACTS.items() if c.kind == "referential"]
 EVENTS = [n for n, c in CONTRACTS.items() if c.kind == "event"]
 
 
-def with_operators(contract: Contract, operators: tuple[str, ...]) -> Contract:
-    """The list of mobile operators belongs to a deployment: add it as an allowed-code rule."""
-    from dataclasses import replace
-    return replace(contract, allowed={**contract.allowed, "operator": operators})
+def for_deployment(contracts: dict[str, Contract], issuer: str | None = None,
+                   operators: tuple[str, ...] = ()) -> dict[str, Contract]:
+    """The contracts with what belongs to a deployment: the issuer that identifiers of referentials
+    start with, and the list of mobile operators. Pass the result to ingestion and streams."""
+    out = {}
+    for name, contract in contracts.items():
+        if issuer and contract.kind == "referential" and contract.key_format.startswith("^[A-Z]+"):
+            contract = replace(contract, key_format=contract.key_format.replace(
+                "^[A-Z]+", f"^{issuer}", 1))
+        if operators and "operator" in contract.columns:
+            contract = replace(contract, allowed={**contract.allowed, "operator": operators})
+        out[name] = contract
+    return out

@@ -2,7 +2,12 @@
 
 A table is a folder of parquet files with Hive-style partition folders. Hidden partition
 transforms of other formats become derived columns (`event_day`, `event_month`). There is one
-writer per table; a rerun after a crash rewrites the same partitions with the same rows."""
+writer per table.
+
+A step whose rows come from elsewhere is repaired by running it again. A step that rewrites
+partitions from the table's own rows (`upsert`, `compact`) writes the new rows beside the table
+first and switches then; a crash between leaves them there, and the next writer finishes the switch
+(`recover`)."""
 from __future__ import annotations
 
 import json
@@ -111,12 +116,44 @@ class Table:
         self._remember(df.schema)
         metrics = observed(seen)
         if before and current is not None:
-            self.clear(before - {tuple(r) for r in metrics.get("written", ())}, current.schema)
+            plain = lambda v: tuple(None if x is None else str(x) for x in v)
+            written = {plain(r) for r in metrics.get("written", ())}
+            self.clear({plain(v) for v in before} - written, current.schema)
         return metrics.get("n", 0)
 
     def compact(self, key: str, order: list[Column], **filters) -> int:
         """Rewrites the filtered partitions with one row per key in fewer, larger files."""
-        return self.overwrite_partitions(self.read_latest(key, order, **filters))
+        self.recover()
+        return self._switch(self.read_latest(key, order, **filters), set())
+
+    def _beside(self, name: str) -> str:
+        return f"{self.path}/_{name}"       # readers skip names that start like this
+
+    def _switch(self, df: DataFrame, emptied: set[tuple]) -> int:
+        """Overwrites partitions with rows that were read from this very table."""
+        marks = [(json.dumps([None if v is None else str(v) for v in value]),)
+                 for value in sorted(emptied, key=str)]
+        (self.spark.createDataFrame(marks, "value STRING").coalesce(1)
+         .write.mode("overwrite").text(self._beside("emptied")))
+        df.write.mode("overwrite").parquet(self._beside("rows"))
+        return self.recover()
+
+    def recover(self) -> int:
+        """Finishes a switch whose rows lie beside the table; the number of rows. An unfinished set
+        of rows, without the committer's mark, is of no use and is overwritten by the next."""
+        files, rows = self._path(self._beside("rows"))
+        if not files.exists(self._path(f"{self._beside('rows')}/_SUCCESS")[1]):
+            return 0
+        marks = self.spark.read.text(self._beside("emptied")).collect()
+        emptied = {tuple(json.loads(r["value"])) for r in marks}
+        n = self.overwrite_partitions(self.spark.read.parquet(self._beside("rows")), emptied)
+        files.delete(rows, True)
+        return n
+
+    def _path(self, path: str):
+        """A path with its file system."""
+        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return found.getFileSystem(self.spark._jsc.hadoopConfiguration()), found
 
     def clear(self, values: set[tuple], schema: StructType) -> None:
         """Empties whole partitions; a dynamic overwrite leaves the ones it has no row for."""
@@ -149,6 +186,7 @@ class Table:
 
         A key may move to another partition: the old one is rewritten too. With `compare`,
         a row is updated only if one of these columns differs (NULL-safe)."""
+        self.recover()
         current = self.read_or_none()
         if current is None:
             self.overwrite_partitions(source)
@@ -164,7 +202,7 @@ class Table:
             if not homes | targets:
                 return
             old = not_in(current.filter(self._in(homes | targets)), source, key)
-            self.overwrite_partitions(old.unionByName(source), before=homes)
+            self._switch(old.unionByName(source), homes)
         finally:
             source.unpersist()
 

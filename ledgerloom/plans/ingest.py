@@ -1,8 +1,7 @@
-"""Batch ingestion of one dataset: inventory, skip list, header check, validation, merge, audit."""
+"""Batch ingestion of one dataset: inventory, skip list, one scan, checks, merge, audit."""
 from __future__ import annotations
 
-import uuid
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.contracts import Contract
 from ledgerloom.functions.columns import moment
-from ledgerloom.functions.validation import check_batch, file_stats
+from ledgerloom.functions.validation import check_batch
 from ledgerloom.operators.tables import Table, Warehouse, create_table_sql
 from ledgerloom.rules import COUNTRIES
 from ledgerloom.sources import landing
@@ -18,12 +17,12 @@ from ledgerloom.sources import landing
 AUDIT_TABLES = {
     "rejected_records": (
         "batch_id STRING, dataset STRING, source_file STRING, record_key STRING, "
-        "reject_reason STRING, raw_record STRING, rejected_at TIMESTAMP", ("dataset",)),
+        "reject_reason STRING, raw_record STRING, rejected_at TIMESTAMP", ("dataset", "batch_id")),
     "ingestion_log": (
         "batch_id STRING, dataset STRING, source_file STRING, file_key STRING, "
         "file_etag STRING, rows_read BIGINT, rows_valid BIGINT, rows_rejected BIGINT, "
         "status STRING, message STRING, processed_at TIMESTAMP, target_table STRING",
-        ("dataset",)),
+        ("dataset", "batch_id")),
     "silver_quarantine": (
         "dataset STRING, record_key STRING, country_code STRING, reason STRING, "
         "detected_at TIMESTAMP", ("dataset", "country_code")),
@@ -59,9 +58,10 @@ def journal_rows(files: DataFrame, stats: DataFrame | None, contract: Contract,
     spell the scheme of a path differently."""
     out = files.select(F.col("path").alias("source_file"), "file_key", "file_etag")
     if stats is not None:
-        below_root = f"((?:[A-Z]{{2}}|referentials)/{contract.name}/.*)$"
-        counts = stats.withColumn("file_key", F.regexp_extract("_source_file", below_root, 1))
-        out = out.join(counts.drop("_source_file"), "file_key", "left")
+        if "file_key" not in stats.columns:
+            below_root = f"((?:[A-Z]{{2}}|referentials)/{contract.name}/.*)$"
+            stats = stats.withColumn("file_key", F.regexp_extract("_source_file", below_root, 1))
+        out = out.join(stats.drop("_source_file"), "file_key", "left")
     for c in ("rows_read", "rows_valid", "rows_rejected"):
         out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0)).cast("bigint")
                              if stats is not None else F.lit(0).cast("bigint"))
@@ -75,7 +75,7 @@ def journal_rows(files: DataFrame, stats: DataFrame | None, contract: Contract,
 @dataclass
 class Summary:
     dataset: str
-    batch_id: str
+    batch_id: str = ""
     files_found: int = 0
     files_skipped: int = 0
     files_bad_header: int = 0
@@ -84,58 +84,86 @@ class Summary:
     rows_inserted: int = 0
 
 
+@dataclass(frozen=True)
+class Landed:
+    """Files of a dataset that wait, and their lines, read once. Only counts, a hash and a time of
+    them reach the driver."""
+    files: DataFrame
+    lines: DataFrame
+
+    @property
+    def accepted(self) -> DataFrame:
+        """Keys of the files that have the contract's header."""
+        return self.lines.filter("_header").select("file_key").distinct()
+
+    def rows(self, contract: Contract) -> DataFrame:
+        own = self.lines.join(self.files.select("file_key"), "file_key", "left_semi")
+        return landing.parse_lines(own, contract).join(self.accepted, "file_key", "left_semi")
+
+
+def _merge(valid: DataFrame, table: Table, contract: Contract) -> int:
+    """Events are inserted once. Their key never changes its day on the first level, so only the
+    days of the batch are searched there. Of a referential the changed rows are rewritten."""
+    placed = with_partitions(valid, table)
+    if contract.kind == "event":
+        return table.insert_new(placed, contract.key,
+                                same_partition="event_day" in table.partitions)
+    table.upsert(placed, contract.key, compare=[c for c in contract.columns if c != contract.key])
+    return 0
+
+
 def ingest(spark: SparkSession, warehouse: Warehouse, root: str, contract: Contract,
            layer: str = "bronze", countries=COUNTRIES, force: bool = False, now=None) -> Summary:
     """Ingests the new files below `root` (a landing or an archive folder; for a replay pass
-    `force=True`). The table is written before the journal: after a crash the files are read
-    again and the merge adds nothing twice."""
-    target = f"{layer}.{contract.name}"
-    summary = Summary(contract.name, str(uuid.uuid4()))
-    journal = warehouse.table("audit", "ingestion_log", ("dataset",))
-    files = landing.inventory(spark, root, contract, countries)
-    summary.files_found = files.count()
-    done = journal.read_or_none()
-    if done is not None and not force:
-        files = landing.not_ingested(files, done, contract.name, target)
-    checked = landing.check_headers(files, contract).persist()
+    `force=True`).
+
+    The table is written first, then the rejects, then the journal, so that after a crash the files
+    are read again; the merge adds nothing twice, and rejects and journal replace what the same
+    files left, as the batch is named by a hash of them."""
+    target, summary = f"{layer}.{contract.name}", Summary(contract.name)
+    found = landing.inventory(spark, root, contract, countries)
+    journal = warehouse.table("audit", "ingestion_log", AUDIT_TABLES["ingestion_log"][1])
+    done = None if force else journal.read_or_none()
+    waiting = found if done is None else landing.not_ingested(found, done, contract.name, target)
+    seen = waiting.agg(F.count("*").alias("n"), F.min("modificationTime").alias("oldest"),
+                       F.bit_xor(F.xxhash64("file_key", "file_etag")).alias("mark")).first()
+    summary.files_found = found.count()
+    summary.files_skipped = summary.files_found - seen["n"]
+    if not seen["n"]:
+        return summary
+    summary.batch_id = f"{target}-{seen['mark'] & (1 << 64) - 1:016x}"
+    lines = landing.landed_lines(spark, root, contract, countries, seen["oldest"])
+    landed = Landed(waiting, lines.persist(StorageLevel.DISK_ONLY))
+    checked = check_batch(landed.rows(contract), contract, summary.batch_id, now)
+    batch = replace(checked, rows=checked.rows.persist(StorageLevel.DISK_ONLY))
     try:
-        paths = [(r["path"], r["header_ok"]) for r in checked.select("path", "header_ok").collect()]
-        good = [p for p, ok in paths if ok]
-        summary.files_skipped = summary.files_found - len(paths)
-        summary.files_bad_header = len(paths) - len(good)
-        if summary.files_bad_header:
-            journal.append(journal_rows(checked.filter("NOT header_ok"), None, contract,
-                                        summary.batch_id, target, "REJECTED_FILE",
-                                        "header mismatch", now))
-        if good:
-            _load(spark, warehouse, contract, layer, good, checked.filter("header_ok"), summary,
-                  journal, target, now)
+        table = table_for(warehouse, layer, contract)
+        summary.rows_inserted = _merge(batch.valid.drop("file_key"), table, contract)
+        _audit(warehouse, "rejected_records", batch.rejected)
+        counts = batch.rows.groupBy("file_key").agg(
+            F.count("*").alias("rows_read"),
+            F.count_if(F.col("reject_reason") == "").alias("rows_valid"),
+            F.count_if(F.col("reject_reason") != "").alias("rows_rejected"))
+        refused = waiting.join(landed.accepted, "file_key", "left_anti")
+        taken = waiting.join(landed.accepted, "file_key", "left_semi")
+        rows = journal_rows(taken, counts, contract, summary.batch_id, target, "SUCCESS", "", now)
+        rows = rows.unionByName(journal_rows(refused, None, contract, summary.batch_id, target,
+                                             "REJECTED_FILE", "header mismatch", now)).persist()
+        # Counted before the journal is written: a write drops what is cached from its path.
+        total = rows.agg(F.count_if(F.col("status") == "SUCCESS").alias("files"),
+                         F.count("*").alias("all"), F.sum("rows_read").alias("read"),
+                         F.sum("rows_valid").alias("valid"),
+                         F.sum("rows_rejected").alias("rejected")).first()
+        _audit(warehouse, "ingestion_log", rows)
+        summary.files_ingested = total["files"]
+        summary.files_bad_header = total["all"] - total["files"]
+        summary.rows = {k: int(total[k] or 0) for k in ("read", "valid", "rejected")}
+        rows.unpersist()
     finally:
-        checked.unpersist()
+        batch.rows.unpersist()
+        landed.lines.unpersist()
     return summary
 
 
-def _load(spark, warehouse, contract, layer, paths, files, summary, journal, target, now):
-    rows = landing.read_csv(spark, contract, paths).persist(StorageLevel.MEMORY_AND_DISK)
-    batch = check_batch(rows, contract, summary.batch_id, now)
-    rejected = batch.rejected.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        table = table_for(warehouse, layer, contract)
-        valid = with_partitions(batch.valid, table)
-        if contract.kind == "event":
-            summary.rows_inserted = table.insert_new(valid, contract.key)
-        else:
-            # Bronze keeps one row per key; only changed rows are rewritten.
-            business = [c for c in contract.columns if c != contract.key]
-            table.upsert(valid, contract.key, compare=business)
-        warehouse.table("audit", "rejected_records", ("dataset",)).append(rejected)
-        stats = file_stats(rows, rejected).persist()
-        journal.append(journal_rows(files, stats, contract, summary.batch_id, target, "SUCCESS",
-                                    "", now))
-        totals = stats.agg(F.sum("rows_read"), F.sum("rows_valid"), F.sum("rows_rejected")).first()
-        summary.rows = dict(zip(("read", "valid", "rejected"), (int(v or 0) for v in totals)))
-        summary.files_ingested = len(paths)
-        stats.unpersist()
-    finally:
-        rejected.unpersist()
-        rows.unpersist()
+def _audit(warehouse: Warehouse, name: str, rows: DataFrame) -> None:
+    warehouse.table("audit", name, AUDIT_TABLES[name][1]).overwrite_partitions(rows)

@@ -16,7 +16,7 @@ from ledgerloom.operators.dedup import first_per
 from ledgerloom.operators.tables import Table
 
 PROGRESS_DDL = ("job STRING, query STRING, event STRING, logged_at TIMESTAMP, input_rate DOUBLE, "
-                "processed_rate DOUBLE, batch_seconds DOUBLE, input_rows BIGINT, "
+                "processed_rate DOUBLE, batch_seconds DOUBLE, source STRING, input_rows BIGINT, "
                 "end_offset STRING, latest_offset STRING, error STRING")
 REPORT_DDL = "job STRING, batch_id BIGINT, logged_at TIMESTAMP, counter STRING, label STRING, n DOUBLE"
 # Readiness, liveness and alert limits.
@@ -27,7 +27,8 @@ REPORT_HOUR = 6
 
 
 class ProgressLog(StreamingQueryListener):
-    """Buffers query events; `flush` appends them to the log table from the caller's thread."""
+    """Buffers query events, a progress once for every source of the query; `flush` appends them to
+    the log table from the caller's thread."""
 
     def __init__(self, job: str):
         self.job, self._rows, self._names = job, [], {}
@@ -35,14 +36,15 @@ class ProgressLog(StreamingQueryListener):
 
     def _add(self, query, event, *, error=None, progress=None):
         p = progress or {}
-        source = (p.get("sources") or [{}])[0]
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
         seconds = (p.get("durationMs") or {}).get("triggerExecution")
-        row = (self.job, query, event, datetime.now(timezone.utc).replace(tzinfo=None),
-               float(p.get("inputRowsPerSecond") or 0), float(p.get("processedRowsPerSecond") or 0),
-               None if seconds is None else seconds / 1000, int(p.get("numInputRows") or 0),
-               _text(source.get("endOffset")), _text(source.get("latestOffset")), error)
+        rows = [(self.job, query, event, now, float(s.get("inputRowsPerSecond") or 0),
+                 float(s.get("processedRowsPerSecond") or 0),
+                 None if seconds is None else seconds / 1000, s.get("description"),
+                 int(s.get("numInputRows") or 0), _text(s.get("endOffset")),
+                 _text(s.get("latestOffset")), error) for s in p.get("sources") or [{}]]
         with self._lock:
-            self._rows.append(row)
+            self._rows += rows
 
     def onQueryStarted(self, event):
         self._names[str(event.id)] = event.name or str(event.id)
@@ -56,8 +58,8 @@ class ProgressLog(StreamingQueryListener):
         self._add(self._names.get(str(event.id), str(event.id)), "idle")
 
     def onQueryTerminated(self, event):
-        error = event.exception[:300] if event.exception else None
-        self._add(self._names.get(str(event.id), str(event.id)), "terminated", error=error)
+        self._add(self._names.get(str(event.id), str(event.id)), "terminated",
+                  error=event.exception or None)
 
     def flush(self, table: Table) -> int:
         with self._lock:
@@ -100,7 +102,7 @@ def topic_backlog(progress: DataFrame) -> DataFrame:
 
 
 def current_backlog(progress: DataFrame) -> DataFrame:
-    newest = first_per(progress.filter("latest_offset IS NOT NULL"), ["query"],
+    newest = first_per(progress.filter("latest_offset IS NOT NULL"), ["query", "source"],
                        [F.col("logged_at").desc(), F.col("latest_offset").desc()])
     return topic_backlog(newest).select("query", "topic", "lag")
 
@@ -130,10 +132,13 @@ def all_healthy(health: DataFrame) -> bool:
 
 
 def counters(reports: DataFrame) -> DataFrame:
-    """Totals of rows, alerts and dead letters; the country lag is a maximum, not a sum."""
+    """Totals of rows, alerts and dead letters; the country lag is a maximum, not a sum. A batch
+    that was replayed counts once, with its last report."""
     is_lag = F.col("counter") == "country_lag"
-    return reports.groupBy("job", "counter", "label").agg(
-        F.when(F.first(is_lag), F.max("n")).otherwise(F.sum("n")).alias("value"))
+    once = reports.groupBy("job", "counter", "label", "batch_id").agg(
+        F.max_by("n", "logged_at").alias("n"))
+    return once.withColumn("_lag", is_lag).groupBy("job", "counter", "label").agg(
+        F.when(F.first("_lag"), F.max("n")).otherwise(F.sum("n")).alias("value"))
 
 
 def slo_breaches(progress: DataFrame, runs: DataFrame, now=None) -> DataFrame:

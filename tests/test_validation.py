@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.contracts import CONTRACTS, CORRUPT, with_operators
+from ledgerloom.contracts import CONTRACTS, CORRUPT, for_deployment
 from ledgerloom.functions.validation import check_batch, file_stats
 from ledgerloom.sources import landing
 from samples import T0, bank, customer, mobile, uid, write_file
@@ -98,11 +98,43 @@ def test_payment_country_comes_from_sender(spark, tmp_path):
 
 
 def test_operator_list_of_a_deployment(spark, tmp_path):
-    contract = with_operators(CONTRACTS["mobile_money_payments"], ("OP_B",))
+    contract = for_deployment(CONTRACTS, operators=("OP_B",))["mobile_money_payments"]
     _, batch = checked(spark, tmp_path, "mobile_money_payments", [mobile(1, "a", "b")], contract)
     assert batch.rejected.first()["reject_reason"] == "INVALID_OPERATOR"
 
 
+def test_issuer_of_a_deployment(spark, tmp_path):
+    contract = for_deployment(CONTRACTS, issuer="OTHER")["customers"]
+    _, batch = checked(spark, tmp_path, "customers", [customer(1)], contract)
+    assert batch.rejected.first()["reject_reason"] == "INVALID_KEY_FORMAT"
+    assert for_deployment(CONTRACTS, issuer="ACME")["branches"].key_format.startswith("^ACME-")
+
+
+def test_swapped_columns_are_refused(spark, tmp_path):
+    contract = CONTRACTS["bank_transactions"]
+    names = list(contract.columns)
+    names[2], names[3] = names[3], names[2]
+    write_file(tmp_path / "CI/bank_transactions/swapped.csv", contract.name, [bank(1, ACC)],
+               header=names)
+    lines = landing.landed_lines(spark, str(tmp_path), contract)
+    assert lines.filter("_header").count() == 0
+
+
+def test_header_of_a_file_in_many_splits(spark, tmp_path):
+    contract = CONTRACTS["bank_transactions"]
+    write_file(tmp_path / "CI/bank_transactions/big.csv", contract.name,
+               [bank(k, ACC) for k in range(3000)])
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        lines = landing.landed_lines(spark, str(tmp_path), contract)
+        assert lines.rdd.getNumPartitions() > 3
+        assert lines.filter("_header").count() == 1
+        assert landing.parse_lines(lines, contract).select("_row_id").distinct().count() == 3000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
 def test_inventory_header_and_skip_list(spark, tmp_path):
     contract = CONTRACTS["bank_transactions"]
     good = write_file(tmp_path / "CI/bank_transactions/good.csv", contract.name, [bank(1, ACC)])
@@ -114,9 +146,13 @@ def test_inventory_header_and_skip_list(spark, tmp_path):
         "﻿" + quoted + "\r\n" + text.split("\n", 1)[1], encoding="utf-8")
     (tmp_path / "CI/bank_transactions/empty.csv").write_text("")
     files = landing.inventory(spark, str(tmp_path), contract)
-    ok = {r["file_key"]: r["header_ok"] for r in landing.check_headers(files, contract).collect()}
+    lines = landing.landed_lines(spark, str(tmp_path), contract)
+    ok = {r["file_key"]: r["ok"] for r in lines.groupBy("file_key").agg(
+        F.max("_header").alias("ok")).collect()}
     assert ok == {"CI/bank_transactions/good.csv": True, "CI/bank_transactions/bom.csv": True,
                   "SN/bank_transactions/bad.csv": False}
+    rows = landing.parse_lines(lines, contract).filter("file_key LIKE 'CI/%'")
+    assert [r["transaction_id"] for r in rows.collect()] == [uid(1)] * 2
     assert {r["prefix"]: r["pending"] for r in landing.pending_by_prefix(files).collect()} == {
         "CI/bank_transactions": 2, "SN/bank_transactions": 1}
     journal = files.filter(F.col("file_key").endswith("good.csv")).select(
