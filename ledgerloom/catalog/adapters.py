@@ -83,7 +83,7 @@ select {serial('A', 'c_custkey * 5 + k')} as account_id,
        case k when 0 then 'CURRENT' when 1 then 'SAVINGS' when 2 then 'LOAN'
               when 3 then 'INSURANCE_POLICY' else 'MOBILE_WALLET' end as account_type,
        case when (c_custkey + k) % 17 = 0 then null
-            else {serial('P', '(c_custkey * 5 + k) % 250')} end as product_id,
+            else {serial('P', '(c_custkey * 5 + k) % (select count(*) from part)')} end as product_id,
        {currency('c_custkey')} as currency,
        cast(case when k = 2 then -abs(cast(c_acctbal as decimal(18,2))) * 100
                  else cast(c_acctbal as decimal(18,2)) * 100 end as decimal(20,2)) as balance,
@@ -101,7 +101,7 @@ select {serial('T', 'o_orderkey')} as transaction_id, o_orderdate + {SHIFT} as e
             else {serial('A', '((o_custkey * 7 + o_orderkey) % (select count(*) from customer)) * 5')}
             end as beneficiary_account,
        case when o_orderkey % 101 = 0 then 'B-999999999'
-            else {serial('B', 'o_orderkey % 10')} end as branch_id,
+            else {serial('B', 'o_orderkey % (select count(*) from supplier)')} end as branch_id,
        {country('o_custkey')} as country_code,
        case o_orderkey % 5 when 0 then 'TRANSFER' when 1 then 'PAYMENT' when 2 then 'WITHDRAWAL'
             when 3 then 'DEPOSIT' else 'INTERNATIONAL_WIRE' end as transaction_type,
@@ -197,9 +197,9 @@ select case when o_orderkey % 37 = 0 then null when o_orderkey % 59 = 0 then 'T-
             else {UUID_ID} end as transaction_id,
        case when o_orderkey % 41 = 0 then null else o_orderdate + {SHIFT} end as event_ts,
        {serial('A', 'o_custkey * 5')} as account_id,
-       case when o_orderkey % 3 = 0 then null else {serial('A', '(o_orderkey % 150) * 5')} end
+       case when o_orderkey % 3 = 0 then null else {serial('A', '(o_orderkey % (select count(*) from customer)) * 5')} end
             as beneficiary_account,
-       {serial('B', 'o_orderkey % 10')} as branch_id,
+       {serial('B', 'o_orderkey % (select count(*) from supplier)')} as branch_id,
        case when o_orderkey % 43 = 0 then 'XX' else {country('o_custkey')} end as country_code,
        case when o_orderkey % 47 = 0 then 'GIFT' else 'PAYMENT' end as transaction_type,
        cast(case when o_orderkey % 29 = 0 then -1 else 1 end
@@ -269,19 +269,8 @@ def duckdb_text(name: str) -> str:
     return _EACH.sub(r"cross join unnest([\2]) as each_one(\1)", ADAPTERS[name])
 
 
-SPREAD_BY = {"orders": "o_orderkey", "lineitem": "l_orderkey", "events": "event_id",
-             "customer": "c_custkey"}
-
-
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A given table. The test files hold one row group each, which is one task; such a scan is
-    spread over the cores. A table of many files already has more partitions than that and is
-    left alone."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_BY and df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores, SPREAD_BY[name])
-    return df
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def adapt(spark: SparkSession, folder: str, name: str) -> DataFrame:
