@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import crc32_mod, ship_package, text_or_empty
+from ledgerloom.llm.common import crc32_mod, ship_package, staged, text_or_empty
 
 WINDOW = 64
 HIDDEN = 8
@@ -23,7 +23,7 @@ SLOPE = np.float32(0.2)         # gates are piecewise linear: 0.2 x + 0.5, betwe
                                 # a candidate is x / (1 + |x|)
 PAD = 256                       # fills up the last window of a text
 #: Bounds of the training sample: rows per language, rows in all, characters taken of each.
-PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS = 256, 8192, 256
+PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS, SPARE = 256, 8192, 256, 4
 UPDATES, BATCH, RATE, SEED = 160, 256, 0.02, 17
 AT_ONCE = 2048                  # windows computed together
 TEXTS_AT_ONCE = 500             # texts cut into windows together
@@ -202,13 +202,21 @@ def train(rows: list[tuple[str, str]], updates: int = UPDATES, seed: int = SEED)
 
 def sample(labelled: DataFrame, key: str, text: str, lang: str) -> list[tuple[str, str]]:
     """At most PER_LANGUAGE rows of each language and SAMPLE_ROWS in all, the first by a hash of
-    key and text; SAMPLE_CHARS characters of each, from a place that the hash picks."""
+    key and text; SAMPLE_CHARS characters of each, from a place that the hash picks.
+
+    The hash first thins each language to about SPARE times as many rows, by how many it has, so
+    that no task ranks a large language."""
     order = F.xxhash64(F.col(key).cast("string"), F.col(text))
+    usable = labelled.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).withColumn(
+        "_lang", F.col(lang).cast("string"))
+    sizes = staged(usable.groupBy("_lang").agg(F.count("*").alias("_n"))
+                   .orderBy(F.col("_n").desc(), "_lang").limit(SAMPLE_ROWS))
+    share = F.lit(float(SPARE * PER_LANGUAGE)) / F.col("_n")
     most = F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(0)) + 1
-    rows = labelled.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).select(
-        order.alias("_order"), F.col(lang).cast("string").alias("_lang"),
-        F.substring(F.col(text), (F.pmod(order, most) + 1).cast("int"), F.lit(SAMPLE_CHARS))
-        .alias("_text"))
+    rows = (usable.select("_lang", order.alias("_order"), F.substring(
+                F.col(text), (F.pmod(order, most) + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("_text"))
+            .join(F.broadcast(sizes), "_lang")              # SAMPLE_ROWS rows at most
+            .filter(F.pmod(F.xxhash64("_order"), F.lit(1 << 20)) < share * (1 << 20)))
     place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_text"))
     few = (rows.withColumn("_place", place).filter(F.col("_place") <= PER_LANGUAGE)
            .orderBy("_place", "_lang").limit(SAMPLE_ROWS))
