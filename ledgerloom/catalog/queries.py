@@ -259,6 +259,27 @@ def ingestion_log(lake):
                       "rows_read", "rows_valid", "rows_rejected", "status", "target_table")
 
 
+@query("""
+select 'bank_transactions' as dataset, batch_id, 'SUCCESS' as status, count(*) as files,
+       cast(sum(rows_read) as bigint) as rows_read, cast(sum(rows_valid) as bigint) as rows_valid,
+       cast(sum(rows_rejected) as bigint) as rows_rejected
+from (select _source_file, coalesce(nullif(regexp_extract(_source_file, 'part-([0-9])', 1), ''), 'replay') as batch_id,
+             count(*) as rows_read, count(*) filter (rn = 1) as rows_valid,
+             count(*) filter (rn is null or rn > 1) as rows_rejected
+      from d_ranked group by 1, 2)
+group by batch_id order by batch_id limit 20""", "d_ranked")
+def journal_by_batch(lake):
+    """The last batches of the journal, here one per first digit of the file number."""
+    rows = _dirty(lake)
+    stats = file_stats(rows, check_batch(rows, BANK_TRANSACTIONS, "b1", AS_OF).rejected)
+    digit = F.regexp_extract("_source_file", "part-([0-9])", 1)
+    journal = stats.select(
+        F.lit("bank_transactions").alias("dataset"), F.lit("SUCCESS").alias("status"),
+        F.when(digit == "", "replay").otherwise(digit).alias("batch_id"), "rows_read", "rows_valid",
+        "rows_rejected", C.moment(AS_OF).alias("processed_at"))
+    return quality.journal_by_batch(journal).drop("processed_at")
+
+
 @query("""
 select 'insurance_operations' as table_name, count(distinct operation_id) as before, count(*) as after
 from b_insurance having count(*) <> count(distinct operation_id)

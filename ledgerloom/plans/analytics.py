@@ -112,14 +112,6 @@ def currency_totals(bank: DataFrame) -> DataFrame:
         F.count_if("is_high_value").alias("nb_high_value"))
 
 
-def rates_used(fx: DataFrame, first: str, until: str) -> DataFrame:
-    inverse = F.round(1 / F.col("eur_per_unit"), 6).cast("decimal(20,6)")
-    return (fx.filter((F.col("rate_month") >= F.lit(first).cast("date"))
-                      & (F.col("rate_month") < F.lit(until).cast("date")))
-            .select("currency", "rate_month", "eur_per_unit", inverse.alias("units_per_eur"),
-                    "source"))
-
-
 def revenue_by_line(bank: DataFrame, loans: DataFrame, insurance: DataFrame,
                     mobile: DataFrame) -> DataFrame:
     """Monthly revenue per business line; bank fees and loan interest stay separate rows."""
@@ -171,10 +163,15 @@ def npl_sorted(npl: DataFrame) -> DataFrame:
         "country_code", (F.col("loan_type") == "ALL").desc(), "loan_type")
 
 
+def _newest(rows: DataFrame, date: str) -> DataFrame:
+    """Rows of the last date. `rows` is a report, a few hundred rows a date, and is computed once."""
+    last = F.max(date).over(Window.partitionBy())
+    return rows.withColumn("_last", last).filter(F.col(date) == F.col("_last")).drop("_last")
+
+
 def npl_latest(npl: DataFrame) -> DataFrame:
     """Totals of the last snapshot, with the group-wide weighted ratio."""
-    last = npl.agg(F.max("as_of_date")).scalar()
-    return (npl.filter((F.col("loan_type") == "ALL") & (F.col("as_of_date") == last))
+    return (_newest(npl.filter("loan_type = 'ALL'"), "as_of_date")
             .select("country_code", "as_of_date",
                     F.round(F.col("npl_ratio").cast("decimal(20,4)") * 100, 2)
                     .cast("decimal(20,2)").alias("npl_pct"),
@@ -270,7 +267,7 @@ def report_dates(bank_reports: DataFrame) -> DataFrame:
 
 def latest_report(reports: DataFrame) -> DataFrame:
     """Rows of the last report date."""
-    return reports.filter(F.col("report_date") == reports.agg(F.max("report_date")).scalar())
+    return _newest(reports, "report_date")
 
 
 # ------------------------------------------------------------------ alerts and messages
