@@ -49,7 +49,7 @@ class WordBpe:
         letters = [u for u in units if u.isalpha() and LATIN.fullmatch(u)]
         merge = self.tokenizer.model.tokenize
         for u in letters:
-            named = u.lower().encode().decode("latin-1").translate(self.names)
+            named = u if u.isascii() else u.lower().encode().decode("latin-1").translate(self.names)
             self.units[u] = b"".join([t.id.to_bytes(4, "little") for t in merge(named)])
         rest = [u for u in units if u not in self.units]
         if rest:
@@ -69,8 +69,10 @@ class WordBpe:
             if "<|" in text:
                 split.append(None)
                 continue
-            lowered = text.encode().lower().decode()        # A-Z only, which the tokenizer does too
-            split.append((UNIT if LATIN.fullmatch(lowered) else BETWEEN).findall(lowered))
+            # A-Z only, which the tokenizer does too.
+            plain = text.isascii()
+            lowered = text.lower() if plain else text.encode().lower().decode()
+            split.append((UNIT if plain or LATIN.fullmatch(lowered) else BETWEEN).findall(lowered))
         unknown = set().union(*filter(None, split)).difference(self.units)
         if unknown:
             self._learn(sorted(unknown))
