@@ -123,6 +123,14 @@ def test_silver_gold_and_reports(spark, lake, tmp_path):
     assert text.filter("report_date = '2026-05-04'").first()["nb_bank_transactions"] == "2"
 
 
+def test_reports_read_their_months_only(lake):
+    frames = jobs.report_inputs(lake[1], "2026-05-04")
+    for name in ("bank_transactions", "insurance_operations", "loan_repayments"):
+        plan = frames[name]._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters: ["):]
+        assert "event_month" in filters[:filters.index("]")]
+
+
 def test_a_quarantined_row_that_is_fixed_leaves_the_quarantine(spark, lake):
     root, warehouse, _ = lake
     write_file(root / "referentials/accounts/9.csv", "accounts",
