@@ -2,9 +2,6 @@
 health. Each has its oracle SQL beside it."""
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import oracle_parts as P
@@ -14,7 +11,6 @@ from ledgerloom.catalog.queries import _bank_topic
 from ledgerloom.catalog.registry import query
 from ledgerloom.contracts import BANK_TRANSACTIONS
 from ledgerloom.functions import columns as C
-from ledgerloom.operators.lookup import attach
 from ledgerloom.plans import analytics as R
 from ledgerloom.plans import serving
 from ledgerloom.rules import Rules

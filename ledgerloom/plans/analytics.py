@@ -7,8 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
-from ledgerloom.functions.money import MONEY, count_where, mean
-from ledgerloom.operators.dedup import first_per
+from ledgerloom.functions.money import MONEY, mean
 from ledgerloom.plans.gold import usable
 from ledgerloom.rules import DEFAULT_RULES, Rules
 

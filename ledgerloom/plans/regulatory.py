@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import columns as C
-from ledgerloom.functions.money import MONEY, count_where, exact_ratio, mean, total, total_if
+from ledgerloom.functions.money import MONEY, count_where, exact_ratio, mean, total_if
 from ledgerloom.plans.gold import npl_ratio_by_country, usable
 from ledgerloom.rules import DEFAULT_RULES, Rules
 
