@@ -18,7 +18,6 @@ import re
 from collections.abc import Iterator
 from typing import Any
 
-import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
