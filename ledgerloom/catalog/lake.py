@@ -52,13 +52,13 @@ class Lake:
     def gold(self, name: str) -> DataFrame:
         return gold.build(name, {n: self.silver(n) for n in gold.TABLES[name].inputs}, TODAY)
 
-    def bank_report(self) -> DataFrame:
+    def bank_report(self, date: str = REPORT_DATE) -> DataFrame:
         names = ("bank_transactions", "mobile_money_payments", "accounts", "loan_repayments")
-        return regulatory.bank_daily({n: self.silver(n) for n in names}, REPORT_DATE)
+        return regulatory.bank_daily({n: self.silver(n) for n in names}, date)
 
-    def insurance_report(self) -> DataFrame:
+    def insurance_report(self, date: str = REPORT_DATE) -> DataFrame:
         return regulatory.insurance_month_to_date(
-            {"insurance_operations": self.silver("insurance_operations")}, REPORT_DATE)
+            {"insurance_operations": self.silver("insurance_operations")}, date)
 
     def wallet_flows(self) -> DataFrame:
         """Mobile payments in the shape of bank transactions: the only given events with times

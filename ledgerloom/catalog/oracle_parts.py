@@ -328,6 +328,8 @@ from (select week_start, sender_country, receiver_country, channel, nb_transfers
                   select "timestamp", sender_country, receiver_country, 'MOBILE_MONEY', amount_eur
                   from s_mm where is_cross_border and is_success and not is_aberrant)
             group by 1, 2, 3, 4))""")
+# What the bank report needs as of its own date.
+DATED = ("loan_book_d", "g_npl_d")
 PARTS["g_bceao"] = (("s_bank", "s_mm", "s_accounts", "g_npl_d"), f"""
 select date '{REPORT_DATE}' as report_date, 'BCEAO' as regulator, k.country_code,
        coalesce(b.n, 0) as nb_bank_transactions, {money('b.amount')} as bank_amount_eur,

@@ -2,10 +2,12 @@
 health. Each has its oracle SQL beside it."""
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import oracle_parts as P
-from ledgerloom.catalog.adapters import AS_OF, SECRET
+from ledgerloom.catalog.adapters import AS_OF, REPORT_DATE, SECRET
 from ledgerloom.catalog.lake import TODAY
 from ledgerloom.catalog.queries import _bank_topic
 from ledgerloom.catalog.registry import query
@@ -262,16 +264,31 @@ def weighted_metrics(lake):
                               lake.gold("claims_processing_time"))
 
 
+EARLIER = "2023-12-31"
+for _name in ("g_cima", "g_bceao", *P.DATED):
+    _needs, _text = P.PARTS[_name]
+    for _other in P.DATED:
+        _text = re.sub(rf"\b{_other}\b", f"{_other}_before", _text)
+    P.PARTS[f"{_name}_before"] = (tuple(f"{n}_before" if n in P.DATED else n for n in _needs),
+                                  _text.replace(REPORT_DATE, EARLIER))
+
+
 @query("""
-select report_date, count(*) as countries, count(*) filter (npl_breach) as npl_breaches from g_bceao group by 1""",
-       "g_bceao")
+select report_date, count(*) as countries, count(*) filter (npl_breach) as npl_breaches
+from (select * from g_bceao union all select * from g_bceao_before) group by 1""",
+       "g_bceao", "g_bceao_before")
 def report_dates(lake):
-    return R.report_dates(lake.bank_report())
+    return R.report_dates(lake.bank_report().unionByName(lake.bank_report(EARLIER)))
 
 
-@query("select * from g_cima where report_date = (select max(report_date) from g_cima)", "g_cima")
+@query("""
+select * exclude (last_date)
+from (select *, max(report_date) over () as last_date
+      from (select * from g_cima union all select * from g_cima_before))
+where report_date = last_date""",
+       "g_cima", "g_cima_before")
 def latest_report(lake):
-    return R.latest_report(lake.insurance_report())
+    return R.latest_report(lake.insurance_report(EARLIER).unionByName(lake.insurance_report()))
 
 
 # ------------------------------------------------------------------ serving
