@@ -8,7 +8,8 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import catalog, components, knn, oph, simhash
+import corpus_pipeline
+from ledgerloom.llm import catalog, components, copies, knn, oph, simhash
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -251,3 +252,67 @@ def test_likeness_of_known_sets(spark):
     off = [r.near - len(shingle_set(r.a) & shingle_set(r.b)) / len(shingle_set(r.a) | shingle_set(r.b))
            for r in both.select("a", "b", oph.likeness("x", "y").alias("near")).collect()]
     assert abs(np.mean(off)) < 0.02 and np.max(np.abs(off)) < 0.25
+
+
+# ---- near-duplicates by shingle sets
+
+def kept_rows(docs):
+    """Brute force: the first of each group, by key (null last)."""
+    sets = [shingle_set(t) for _, t in docs]
+    links = [(a, b) for a in range(len(docs)) for b in range(a)
+             if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    groups = {}
+    for n, root in roots_of(range(len(docs)), links).items():
+        groups.setdefault(root, []).append(docs[n][0])
+    return sorted((min(g, key=lambda k: (k is None, k or 0)) for g in groups.values()), key=str)
+
+
+def planted(seed, n_base=12, copies_of=12):
+    """Texts with edited copies at 0.6 to 0.97, and a line that a third of them share."""
+    rng = random.Random(seed)
+    word, docs = lambda: f"w{rng.randrange(900)}", []
+    line = " ".join(f"line{k}" for k in range(30))
+    for b in range(n_base):
+        base = [word() for _ in range(rng.choice([8, 60, 200, 400]))]
+        docs.append(" ".join(base) + (" " + line if b % 3 == 0 else ""))
+        for _ in range(copies_of):
+            words = docs[-1 if rng.random() < 0.3 else -1 - rng.randrange(len(docs))].split()
+            for _ in range(rng.randrange(1, max(2, len(words) // 30))):
+                words[rng.randrange(len(words))] = word()
+            docs.append(" ".join(words))
+    return docs
+
+
+@pytest.mark.parametrize("block", [copies.BLOCK, 4])
+def test_copies_at_all_likenesses(spark, monkeypatch, block):
+    monkeypatch.setattr(copies, "BLOCK", block)
+    docs = list(enumerate(planted(3)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = [r.doc_id for r in copies.deduplicate(frame).collect()]
+    assert sorted(got, key=str) == kept_rows(docs)
+    assert len(got) < len(docs) / 2 and len(simhash.deduplicate(frame).collect()) > 1.3 * len(got)
+
+
+@pytest.mark.parametrize("share", [0.97, 0.9, 0.85, 0.8])
+def test_one_planted_copy(spark, share):
+    """At the bound itself too: 45 of 50 shingles in either, 0.8181, and 40 of 45 and 45, 0.8."""
+    n, changed = {0.97: (400, 6), 0.9: (400, 21), 0.85: (400, 32), 0.8: (45, 5)}[share]
+    words = [f"a{k}" for k in range(n + 4)]
+    other = words[:n + 4 - changed] + [f"b{k}" for k in range(changed)]
+    a, b = shingle_set(" ".join(words)), shingle_set(" ".join(other))
+    assert share <= len(a & b) / len(a | b) < share + 0.01
+    less = words[:n + 3 - changed - n // 80] + [f"b{k}" for k in range(changed + 1 + n // 80)]
+    rows = [(1, " ".join(words)), (2, " ".join(other)), (3, "all by itself here and now")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in copies.deduplicate(frame).collect()) == [1, 3]
+    if share == 0.8:
+        rows[1] = (2, " ".join(less))
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        assert copies.deduplicate(frame).count() == 3
+
+
+def test_stage_keeps_one_of_the_alike(spark):
+    docs = duckdb.execute("SELECT doc_id, text FROM '/root/testdata/sf0.01/documents.parquet'").fetchall()
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = [r.doc_id for r in corpus_pipeline.near_dedup(spark, frame, FOLDER).collect()]
+    assert sorted(got, key=str) == kept_rows(docs)
