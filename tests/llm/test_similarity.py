@@ -316,3 +316,13 @@ def test_stage_keeps_one_of_the_alike(spark):
     frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = [r.doc_id for r in corpus_pipeline.near_dedup(spark, frame, FOLDER).collect()]
     assert sorted(got, key=str) == kept_rows(docs)
+
+
+def test_rows_without_or_with_repeated_ids(spark):
+    """Rows are compared, not ids: a copy without an id goes, an unlike row of the same id stays."""
+    docs = [(7, "a b c d e"), (None, "A B c d e"), (None, "alone"), (None, "alone"),
+            (5, "one two three four five six"), (5, "quite another text of the same id"), (9, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = copies.deduplicate(frame).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [docs[0], docs[2], docs[4], docs[5], docs[6]], key=str)
