@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm import (attribution, bpe, chat, knn, langid, mixing, oph, simhash, tokenfile,
-                            urlfilter)
+                            transducer, urlfilter)
 from ledgerloom.llm.common import new_folder, staged, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -120,7 +120,14 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(spark, docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op12_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return (transducer.encode_documents(docs, WORD_TOKENIZER)
+            .select("doc_id", *[c.alias(n) for n, c in transducer.digests().items()]))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_token_files, op3_simhash, op4_top_k, op5_one_permutation, op6_url_filter,
-    op7_token_counts, op8_chat_tree, op9_poisson_mix, op10_language_id)}
+    op7_token_counts, op8_chat_tree, op9_poisson_mix, op10_language_id,
+    op12_bpe_stream)}
 ORACLES = {"op4_top_k": OP4_SQL, "op9_poisson_mix": OP9_SQL}
