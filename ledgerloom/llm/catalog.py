@@ -5,13 +5,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import (attribution, bpe, chat, knn, langid, mixing, oph, simhash, tokenfile,
-                            transducer, urlfilter)
+from ledgerloom.llm import (alignment, attribution, bpe, chat, knn, langid, mixing, oph, simhash,
+                            tokenfile, transducer, urlfilter)
 from ledgerloom.llm.common import new_folder, staged, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_TOKENIZER = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,6 +122,11 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return langid.identify(spark, docs).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return alignment.align(docs, BYTE_TOKENIZER, PIECE_TOKENIZER)
+
+
 def op12_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return (transducer.encode_documents(docs, WORD_TOKENIZER)
@@ -129,5 +136,5 @@ def op12_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_token_files, op3_simhash, op4_top_k, op5_one_permutation, op6_url_filter,
     op7_token_counts, op8_chat_tree, op9_poisson_mix, op10_language_id,
-    op12_bpe_stream)}
+    op11_token_alignment, op12_bpe_stream)}
 ORACLES = {"op4_top_k": OP4_SQL, "op9_poisson_mix": OP9_SQL}
