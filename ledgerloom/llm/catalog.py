@@ -5,8 +5,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import (alignment, attribution, bpe, chat, knn, langid, mixing, oph, simhash,
-                            tokenfile, transducer, urlfilter)
+from ledgerloom.llm import (alignment, attribution, bpe, chat, knn, langid, mixing, negatives,
+                            oph, simhash, tokenfile, transducer, urlfilter)
 from ledgerloom.llm.common import new_folder, staged, table
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -133,8 +133,44 @@ def op12_bpe_stream(spark: SparkSession, folder: str) -> DataFrame:
             .select("doc_id", *[c.alias(n) for n, c in transducer.digests().items()]))
 
 
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select(
+        "vec_id", "embedding", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10)
+        .otherwise(F.col("label")).alias("label"))
+    return negatives.mine(vectors)
+
+
+OP13_SQL = """
+WITH whole AS (
+  SELECT row_number() OVER () AS place, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.place, a.vec_id AS anchor_id, s.vec_id, a.label = s.label AS alike,
+         CAST(list_sum(list_transform(list_zip(a.v, s.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM whole a JOIN whole s ON a.vec_id <> s.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS nth
+    FROM scored WHERE alike)
+  WHERE nth <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id,
+         n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.place, p.nth ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON n.place = p.place AND NOT n.alike
+  WHERE 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""
+
+
 QUERIES = {f.__name__: f for f in (
     op1_byte_bpe, op2_token_files, op3_simhash, op4_top_k, op5_one_permutation, op6_url_filter,
     op7_token_counts, op8_chat_tree, op9_poisson_mix, op10_language_id,
-    op11_token_alignment, op12_bpe_stream)}
-ORACLES = {"op4_top_k": OP4_SQL, "op9_poisson_mix": OP9_SQL}
+    op11_token_alignment, op12_bpe_stream, op13_hard_negatives)}
+ORACLES = {"op4_top_k": OP4_SQL, "op9_poisson_mix": OP9_SQL,
+           "op13_hard_negatives": OP13_SQL}
