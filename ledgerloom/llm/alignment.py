@@ -3,8 +3,8 @@
 Tokens of A (byte-level BPE) and B (pieces with byte fallback) cover the same bytes. Where both end,
 the tokens that end there are linked. Counting the pairs is external: a task writes pair-document
 records into runs, sorted with B's ids first and cut by radix of B's id, compressed with zstd. Each
-run has an index, its pairs with their numbers. The indexes of a section are merged by a heap, up
-to FAN_IN at a time until one is left, which counts every pair; in that order all pairs of a B id
+run has an index, its pairs with their numbers. The indexes of a section are merged by a heap, so
+many at a time until one is left, which counts every pair; in that order all pairs of a B id
 stand together, so the merge gives the highest count as it passes. The counts then go back to the
 runs, section by section, and each run sums what its pairs contribute to its documents.
 
@@ -14,7 +14,6 @@ work than a rare one; runs and sections, not ids, are dealt over tasks.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -25,14 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm import runs
 from ledgerloom.llm.common import ship_package, staged, text_or_empty
 
 SECTIONS = 256                  # radix: B's id modulo this
 RUN_RECORDS = 1 << 20           # pair-document records of a run, but for one document's own
-FAN_IN = 64                     # indexes that one task merges
 ANSWERED = 16                   # indexes of a section that share one copy of its counts
-LEVEL = 3                       # of zstd
-BLOCK = 8192                    # pairs of an index that are read together
 #: Characters of a unit up to which its tokens are kept, and how many units are.
 UNIT, KEPT = 64, 400_000
 A_IDS = 1 << 16                 # A's ids are less
@@ -143,35 +140,9 @@ def load(a_file: str, b_file: str) -> Aligner:
     return Aligner(a_file, b_file)
 
 
-# ---- packed columns
-
-def squeeze(blocks: Iterable[tuple[np.ndarray, ...]]) -> bytes:
-    """Columns, given in blocks, as one stream of zstd-compressed batches."""
-    sink, stream = pa.BufferOutputStream(), None
-    for columns in blocks:
-        batch = pa.RecordBatch.from_arrays([pa.array(c) for c in columns],
-                                           [str(k) for k in range(len(columns))])
-        if stream is None:
-            stream = pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(
-                compression=pa.Codec("zstd", LEVEL)))
-        stream.write_batch(batch)
-    if stream is not None:
-        stream.close()
-    return sink.getvalue().to_pybytes()
-
-
-def unsqueeze(packed: bytes) -> list[np.ndarray]:
-    return [c.to_numpy() for c in pa.ipc.open_stream(packed).read_all().columns]
-
-
-def in_blocks(*columns: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    for at in range(0, len(columns[0]), BLOCK):
-        yield tuple(c[at:at + BLOCK] for c in columns)
-
-
 # ---- runs
 
-RUN = "run long, section int, pairs binary, records binary, docs binary"
+RUN = "run long, section int, index binary, records binary, docs binary"
 
 
 class _Run:
@@ -201,20 +172,15 @@ class _Run:
         starts = np.flatnonzero(np.diff(pair, prepend=-1))
         sums = np.add.reduceat(times, starts) if len(starts) else times
         pairs = pair[starts]
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, self.schema, options=pa.ipc.IpcWriteOptions(
-                compression=pa.Codec("zstd", LEVEL))) as stream:
-            for batch in self.docs:
-                stream.write_batch(batch)
-        lengths = squeeze([(np.diff(starts, append=len(pair)).astype(np.int32),)])
-        records = squeeze([((record & (1 << 24) - 1).astype(np.int32), times.astype(np.int32))])
-        rows = [(number, None, lengths, records, sink.getvalue().to_pybytes())]
+        lengths = runs.squeeze([(np.diff(starts, append=len(pair)).astype(np.int32),)])
+        records = runs.squeeze([((record & (1 << 24) - 1).astype(np.int32), times.astype(np.int32))])
+        rows = [(number, None, lengths, records, runs.packed_table(self.docs, self.schema))]
         ends = np.searchsorted(pairs >> 31, np.arange(SECTIONS + 1))
-        rows += [(number, s, squeeze(in_blocks(pairs[a:b] & (1 << 31) - 1, sums[a:b])), None, None)
-                 for s, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
+        rows += [(number, s, runs.pack_index(runs.in_blocks(pairs[a:b] & (1 << 31) - 1, sums[a:b])),
+                  None, None) for s, (a, b) in enumerate(zip(ends, ends[1:])) if a < b]
         kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)],
-                                          ["run", "section", "pairs", "records", "docs"])
+                                          ["run", "section", "index", "records", "docs"])
 
 
 def _runs(batches: Iterator[pa.RecordBatch], a_file: str, b_file: str) -> Iterator[pa.RecordBatch]:
@@ -235,36 +201,6 @@ def _runs(batches: Iterator[pa.RecordBatch], a_file: str, b_file: str) -> Iterat
 
 # ---- counts
 
-def merged(indexes: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs in order and their sums, in blocks, from indexes in order. A heap has the end of the
-    block that each index is at: what is not beyond the smallest end is complete."""
-    readers = [pa.ipc.open_stream(i) for i in indexes]
-    blocks: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(readers)
-    heap: list[tuple[int, int]] = []
-
-    def advance(k: int) -> None:
-        batch = next(readers[k], None)
-        blocks[k] = batch and tuple(c.to_numpy() for c in batch.columns)
-        if batch:
-            heapq.heappush(heap, (int(blocks[k][0][-1]), k))
-    for k in range(len(readers)):
-        advance(k)
-    while heap:
-        end, k = heapq.heappop(heap)
-        parts = []
-        for other, block in enumerate(blocks):
-            if block and len(block[0]) and block[0][0] <= end:
-                to = int(np.searchsorted(block[0], end, "right"))
-                parts.append((block[0][:to], block[1][:to]))
-                blocks[other] = block[0][to:], block[1][to:]
-        advance(k)
-        if parts:
-            pairs, which = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
-            sums = np.zeros(len(pairs), np.int64)
-            np.add.at(sums, which, np.concatenate([n for _, n in parts]))
-            yield pairs, sums
-
-
 def with_best(blocks: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, ...]]:
     """Adds whether a pair's count is its B id's highest. The pairs of the last B id of a block wait
     for the next, as it may have more of them."""
@@ -284,45 +220,14 @@ def with_best(blocks: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple
         yield judged(*held)
 
 
-def _merge_group(group: pa.Table, last: bool) -> pa.Table:
-    blocks = merged(group.column("pairs").to_pylist())
-    return pa.table({"section": pa.array([group.column("section")[0].as_py()], pa.int32()),
-                     "run": pa.array([group.column("run")[0].as_py()], pa.int64()),
-                     "pairs": pa.array([squeeze(with_best(blocks) if last else blocks)],
-                                       pa.binary())})
-
-
-def counted(indexes: DataFrame, runs: int) -> DataFrame:
-    """(section, pairs): counts of all pairs of a section with their flags, from `indexes` (run,
-    section, pairs), merged level by level."""
-    kind = "section int, run long, pairs binary"
-    level = indexes.select("section", "run", "pairs")
-    while runs > FAN_IN:
-        runs = -(-runs // FAN_IN)
-        level = staged(level.groupBy("section", F.pmod(F.xxhash64("run"), F.lit(runs)))
-                       .applyInArrow(lambda group: _merge_group(group, False), kind))
-    return level.groupBy("section").applyInArrow(lambda group: _merge_group(group, True), kind)
-
-
-def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-    """Of each index its pairs' counts and flags, in its order."""
-    pairs, counts, best = unsqueeze(known.column("pairs")[0].as_py())
-    out = []
-    for packed in asked.column("pairs"):
-        at = np.searchsorted(pairs, unsqueeze(packed.as_py())[0])
-        out.append(squeeze([(counts[at], best[at])]))
-    return pa.table({"run": asked.column("run"), "section": asked.column("section"),
-                     "answer": pa.array(out, pa.binary())})
-
-
 def _summed(run: pa.Table, answers: pa.Table) -> pa.Table:
     """The documents of a run with what its pairs contribute."""
     docs = pa.ipc.open_stream(run.column("docs")[0].as_py()).read_all()
     n_best, count_sum = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
     if len(answers):
-        found = [unsqueeze(a.as_py()) for a in answers.sort_by("section").column("answer")]
-        (lengths,), (doc, times) = (unsqueeze(run.column(c)[0].as_py()) for c in ("pairs", "records"))
-        counts, best = (np.repeat(np.concatenate([f[k] for f in found]), lengths) for k in (0, 1))
+        (lengths,), (doc, times) = (runs.unsqueeze(run.column(c)[0].as_py())
+                                    for c in ("index", "records"))
+        counts, best = (np.repeat(c, lengths) for c in runs.answers_of(answers))
         np.add.at(n_best, doc, best * times)
         np.add.at(count_sum, doc, counts * times)
     for name, values in (("n_best", n_best), ("count_sum", count_sum)):
@@ -344,17 +249,13 @@ def align(docs: DataFrame, a_file: str, b_file: str, key: str = "doc_id",
     """
     ship_package(docs.sparkSession)
     kind = docs.schema[key].dataType.simpleString()
-    runs = staged(docs.select(F.col(key).alias("key"), text_or_empty(text))
+    made = staged(docs.select(F.col(key).alias("key"), text_or_empty(text))
                   .mapInArrow(lambda batches: _runs(batches, a_file, b_file), RUN))
-    whole = runs.filter("section IS NULL").drop("section")
-    indexes = runs.filter("section IS NOT NULL").select("run", "section", "pairs")
+    whole = made.filter("section IS NULL").drop("section")
+    indexes = made.filter("section IS NOT NULL").select("run", "section", "index")
     n = whole.select("run").count()
-    shares = max(1, -(-n // ANSWERED))
-    counts = staged(counted(indexes, n)).select(
-        "section", "pairs", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
-    asked = indexes.withColumn("share", F.pmod(F.xxhash64("run"), F.lit(shares)).cast("int"))
-    answers = (asked.groupBy("section", "share").cogroup(counts.groupBy("section", "share"))
-               .applyInArrow(_answer, "run long, section int, answer binary"))
+    counts = staged(runs.counted(indexes, n, with_best))
+    answers = runs.answered(indexes, counts, n, ANSWERED)
     names = [*DIGEST, "groups_sha256", "n_best", "count_sum"]
     summed = whole.groupBy("run").cogroup(answers.groupBy("run")).applyInArrow(
         _summed, f"key {kind}, " + ", ".join(

@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
-from ledgerloom.llm import alignment, catalog
+from ledgerloom.llm import alignment, catalog, runs
 
 FOLDER = "/root/testdata/sf0.001"
 A = Tokenizer.from_file(catalog.BYTE_TOKENIZER)
@@ -70,22 +70,22 @@ def test_units_align_as_the_whole_text(text):
 
 @pytest.mark.parametrize("block", [1, 3, 8192])
 def test_merge_counts_every_pair(monkeypatch, block):
-    monkeypatch.setattr(alignment, "BLOCK", block)
+    monkeypatch.setattr(runs, "BLOCK", block)
     rng, total, indexes = random.Random(4), collections.Counter(), []
     for _ in range(9):
         own = collections.Counter(rng.choices([b * alignment.A_IDS + a for b in range(5)
                                                for a in range(9)], k=rng.randrange(1, 60)))
         total += own
         pairs = sorted(own)
-        indexes.append(alignment.squeeze(alignment.in_blocks(
+        indexes.append(runs.pack_index(runs.in_blocks(
             np.array(pairs), np.array([own[p] for p in pairs]))))
-    blocks = list(alignment.with_best(alignment.merged(indexes)))
+    blocks = list(alignment.with_best(runs.merged(indexes)))
     pairs, counts, best = (np.concatenate(c).tolist() for c in zip(*blocks))
     assert dict(zip(pairs, counts)) == total and pairs == sorted(total)
     for pair, flag in zip(pairs, best):
         top = max(n for p, n in total.items() if p // alignment.A_IDS == pair // alignment.A_IDS)
         assert flag == (total[pair] == top)
-    assert list(alignment.merged([])) == []
+    assert list(runs.merged([])) == []
 
 
 def test_alignment_of_the_documents(spark):
@@ -95,12 +95,14 @@ def test_alignment_of_the_documents(spark):
     assert sorted(map(tuple, rows.collect()), key=str) == slow_rows(documents)
 
 
-@pytest.mark.parametrize("size", [{}, {"RUN_RECORDS": 40, "FAN_IN": 2, "ANSWERED": 2, "BLOCK": 3}])
+@pytest.mark.parametrize("size", [{}, {"RUN_RECORDS": 40, "ANSWERED": 2}])
 def test_alignment_of_odd_rows(spark, monkeypatch, size):
     """Small sizes: many runs, three levels of merging, several shares of each section. A word that
     a third of all tokens are is one record of a run's index."""
     for name, value in size.items():
         monkeypatch.setattr(alignment, name, value)
+        monkeypatch.setattr(runs, "FAN_IN", 2)
+        monkeypatch.setattr(runs, "BLOCK", 3)
     hot = [(k, "the the the " + w) for k, w in enumerate(["", "x\ny", "The  end", "thé"] * 12)]
     documents = [*hot, (7, "the the the x"), (None, "no id"), (None, "no id"), (100, None), (101, ""),
                  (102, " "), (103, "literal ▁ sign"), (104, "\x00\t<s></s><|endoftext|>"),
