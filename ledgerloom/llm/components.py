@@ -4,25 +4,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import staged
+from ledgerloom.llm.common import discard, staged
 
 
 def _linked_to_minimum(links: DataFrame, least: DataFrame) -> DataFrame:
-    """(v, least of u) for every link (u, v). The minima are staged, so that both sides of the join
-    are plain shuffles and a hub's links can be split over tasks."""
-    return links.join(staged(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    """(v, least of u) for every link (u, v), from staged minima, so that both sides of the join are
+    plain shuffles and a hub's links can be split over tasks."""
+    return links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("u", "v").union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return _linked_to_minimum(both.filter("v > u"), least).filter("u > v").distinct()
+    least = staged(both.groupBy("u").agg(F.min("v").alias("m"))
+                   .select("u", F.least("u", "m").alias("m")))
+    out = staged(_linked_to_minimum(both.filter("v > u"), least).filter("u > v").distinct())
+    discard(least)
+    return out
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
+    least = staged(links.groupBy("u").agg(F.min("v").alias("m")))
     moved = _linked_to_minimum(links, least).filter("u > v")
-    return moved.union(least.select("u", F.col("m").alias("v"))).distinct()
+    out = staged(moved.union(least.select("u", F.col("m").alias("v"))).distinct())
+    discard(least)
+    return out
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -38,4 +43,7 @@ def connected(links: DataFrame) -> DataFrame:
         mark = links.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if mark == seen or not mark[0]:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen, links = mark, staged(_small_star(staged(_large_star(links))))
+        large = _large_star(links)
+        small = _small_star(large)
+        discard(links, large)
+        seen, links = mark, small
