@@ -70,9 +70,29 @@ def discard(*frames: DataFrame) -> None:
         path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as make it unlike any column's."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+def named(df: DataFrame) -> list[Column]:
+    """All columns, also those with a dot or a backtick in their name."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def text_or_empty(name: str) -> Column:
-    return F.coalesce(F.col(f"`{name}`").cast("string"), F.lit(""))
+    return F.coalesce(F.col(quoted(name)).cast("string"), F.lit(""))
 
 
 def crc32_mod(name: str, modulus: int) -> Column:
-    return F.pmod(F.crc32(F.col(name).cast("string").cast("binary")), F.lit(modulus))
+    return F.pmod(F.crc32(F.col(quoted(name)).cast("string").cast("binary")), F.lit(modulus))

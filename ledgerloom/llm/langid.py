@@ -1,9 +1,10 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
-The network reads windows of WINDOW bytes, forwards and backwards, and gives every byte a
-distribution over languages; a document's is the mean over all its bytes. It is trained in numpy by
-backpropagation through time on a bounded sample of labelled rows. Arrays have features first and
-windows last, so that the work of a step runs over long rows.
+The network reads forwards and backwards and gives every byte a distribution over languages; a
+document's is the mean over all its bytes. A text is read in windows that overlap: each labels WINDOW
+bytes, and runs over CONTEXT more on either side, so every byte has been approached from both. It is
+trained in numpy by backpropagation through time on a bounded sample of labelled rows. Arrays have
+features first and windows last, so that the work of a step runs over long rows.
 """
 from __future__ import annotations
 
@@ -12,18 +13,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import crc32_mod, ship_package, staged, text_or_empty
+from ledgerloom.llm.common import (crc32_mod, free, named, quoted, ship_package, staged,
+                                   text_or_empty)
 
-WINDOW = 64
+WINDOW, CONTEXT = 64, 12
 HIDDEN = 8
 SLOPE = np.float32(0.2)         # gates are piecewise linear: 0.2 x + 0.5, between 0 and 1;
                                 # a candidate is x / (1 + |x|)
-PAD = 256                       # fills up the last window of a text
-#: Bounds of the training sample: rows per language, rows in all, characters taken of each.
-PER_LANGUAGE, SAMPLE_ROWS, SAMPLE_CHARS, SPARE = 256, 8192, 256, 4
+PAD = 256                       # stands before and after a text
+#: Bounds of the training sample: rows of a language, rows in all (but one of each language at least),
+#: and pieces of each row, one from each equal part of the whole text.
+PER_LANGUAGE, SAMPLE_ROWS, PIECES, SPARE = 256, 8192, 4, 4
+PIECE = WINDOW + 2 * CONTEXT    # characters
 UPDATES, BATCH, RATE, SEED = 160, 256, 0.02, 17
 AT_ONCE = 2048                  # windows computed together
 TEXTS_AT_ONCE = 500             # texts cut into windows together
@@ -141,8 +145,8 @@ class Network:
         return out / out.sum(axis=0)
 
     def gradients(self, codes: np.ndarray, wanted: np.ndarray) -> list[np.ndarray]:
-        """Of the mean cross-entropy over positions that aren't padding; wanted: a language number
-        per window."""
+        """Of the mean cross-entropy over the positions that a window labels; wanted: a language
+        number per window."""
         steps = range(len(codes))
         n = self.v.shape[1] // 2
         states, kept = self.ahead.run_kept(codes, steps)
@@ -152,7 +156,8 @@ class Network:
         np.exp(out - out.max(axis=0), out=out)
         out /= out.sum(axis=0)
         out -= (np.arange(len(self.languages))[:, None] == wanted)[:, None, :]
-        out *= (codes != PAD) / np.float32(max(1, (codes != PAD).sum()))
+        own = labelled(codes)
+        out *= own / np.float32(max(1, own.sum()))
         d_both = np.einsum("lh,ltb->thb", self.v, out)
         return [*self.ahead.back(codes, steps, kept, d_both[:, :n]),
                 *self.behind.back(codes, steps[::-1], kept_back, d_both[:, n:]),
@@ -164,19 +169,30 @@ class Network:
         codes, owner = windows(texts)
         for at in range(0, codes.shape[1], AT_ONCE):
             part = codes[:, at:at + AT_ONCE].astype(np.intp)
-            own = (self.labels(part) * (part != PAD)).sum(axis=1, dtype=np.float64)
+            own = (self.labels(part) * labelled(part)).sum(axis=1, dtype=np.float64)
             np.add.at(sums, owner[at:at + AT_ONCE], own.T)
         return sums / np.array([[max(1, len(t))] for t in texts])
 
 
 def windows(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Codes (step, window) of all bytes, and the text of each window."""
+    """Codes (step, window) of all bytes with their context, and the text of each window."""
     counts = np.array([-(-len(t) // WINDOW) for t in texts], dtype=np.int64)
-    codes = np.full(counts.sum() * WINDOW, PAD, np.int16)
-    starts = np.concatenate([[0], np.cumsum(counts)[:-1]]) * WINDOW
+    # Every text fills whole windows, and stands between two contexts of padding.
+    starts = (np.cumsum(counts) - counts) * WINDOW + CONTEXT * (2 * np.arange(len(texts)) + 1)
+    codes = np.full(counts.sum() * WINDOW + 2 * CONTEXT * len(texts), PAD, np.int16)
     for text, start in zip(texts, starts.tolist()):
         codes[start:start + len(text)] = np.frombuffer(text, np.uint8)
-    return np.ascontiguousarray(codes.reshape(-1, WINDOW).T), np.repeat(np.arange(len(texts)), counts)
+    owner = np.repeat(np.arange(len(texts)), counts)
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    first = starts[owner] + WINDOW * nth - CONTEXT if len(owner) else np.zeros(0, np.int64)
+    return codes[np.arange(WINDOW + 2 * CONTEXT)[:, None] + first], owner
+
+
+def labelled(codes: np.ndarray) -> np.ndarray:
+    """Which positions a window labels: those inside it that aren't padding."""
+    own = codes != PAD
+    own[:CONTEXT] = own[len(codes) - CONTEXT:] = False
+    return own
 
 
 def train(rows: list[tuple[str, str]], updates: int = UPDATES, seed: int = SEED) -> Network:
@@ -200,76 +216,99 @@ def train(rows: list[tuple[str, str]], updates: int = UPDATES, seed: int = SEED)
     return network
 
 
-def sample(labelled: DataFrame, key: str, text: str, lang: str) -> list[tuple[str, str]]:
-    """At most PER_LANGUAGE rows of each language and SAMPLE_ROWS in all, the first by a hash of
-    key and text; SAMPLE_CHARS characters of each, from a place that the hash picks.
-
-    The hash first thins each language to about SPARE times as many rows, by how many it has, so
-    that no task ranks a large language."""
-    order = F.xxhash64(F.col(key).cast("string"), F.col(text))
-    usable = labelled.filter(F.col(lang).isNotNull() & (F.length(text) > 0)).withColumn(
-        "_lang", F.col(lang).cast("string"))
-    sizes = staged(usable.groupBy("_lang").agg(F.count("*").alias("_n"))
-                   .orderBy(F.col("_n").desc(), "_lang").limit(SAMPLE_ROWS))
-    share = F.lit(float(SPARE * PER_LANGUAGE)) / F.col("_n")
-    most = F.greatest(F.length(text) - SAMPLE_CHARS, F.lit(0)) + 1
-    rows = (usable.select("_lang", order.alias("_order"), F.substring(
-                F.col(text), (F.pmod(order, most) + 1).cast("int"), F.lit(SAMPLE_CHARS)).alias("_text"))
-            .join(F.broadcast(sizes), "_lang")              # SAMPLE_ROWS rows at most
-            .filter(F.pmod(F.xxhash64("_order"), F.lit(1 << 20)) < share * (1 << 20)))
-    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_order", "_text"))
-    few = (rows.withColumn("_place", place).filter(F.col("_place") <= PER_LANGUAGE)
-           .orderBy("_place", "_lang").limit(SAMPLE_ROWS))
-    return [(r["_text"], r["_lang"]) for r in few.collect()]
+def sample(rows: DataFrame, key: str, text: str, lang: str) -> list[tuple[str, str]]:
+    """(text, language) of at most PER_LANGUAGE rows of each language and SAMPLE_ROWS in all, but one
+    of each at least: the first by a hash of key and text. Rows that repeat key and text are one row.
+    Of each, PIECES pieces from all over its text, or the whole text if it is not longer.
+
+    The hash first thins each language to about SPARE times as many rows, by how many different ones
+    it has, so that no task ranks a large language."""
+    text, key, lang = (F.col(quoted(c)) for c in (text, key, lang))
+    usable = rows.filter(lang.isNotNull() & (F.length(text) > 0)).select(
+        lang.cast("string").alias("lang"), F.xxhash64(key.cast("string"), text).alias("order"),
+        text.alias("text"))
+    different = staged(usable.select("lang", "order").distinct())
+    sizes = staged(different.groupBy("lang").agg(F.count("*").alias("n")))
+    each = max(1, min(PER_LANGUAGE, SAMPLE_ROWS // max(1, sizes.count())))
+    thinned = different.join(sizes, "lang").filter(
+        F.pmod(F.xxhash64("order"), F.lit(1 << 20)) < F.lit(float(SPARE * each)) / F.col("n") * (1 << 20))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    chosen = staged(thinned.withColumn("place", place).filter(F.col("place") <= each)
+                    .select("lang", "order"))
+    part = F.greatest(F.length("text") / PIECES, F.lit(float(PIECE)))
+    slack = F.greatest(part - PIECE, F.lit(0.0)).cast("long") + 1
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), lambda k: F.substring(
+        F.col("text"), ((k * part).cast("long") + F.pmod(F.xxhash64("order", k), slack) + 1).cast("int"),
+        F.lit(PIECE)))
+    whole = F.length("text") <= PIECES * PIECE
+    read = (usable.join(chosen, ["lang", "order"])
+            .select("lang", "order", F.when(whole, F.array("text")).otherwise(pieces).alias("pieces"))
+            .dropDuplicates(["lang", "order"]).orderBy("order", "lang"))
+    return [(piece, r["lang"]) for r in read.collect() for piece in r["pieces"] if piece]
 
 
 def has_letter(text: str) -> bool:
     return bool(ASCII_LETTER.search(text)) or any(map(str.isalpha, text))
 
 
+def learn(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Network:
+    """A network from the rows that are not held out and have text and a language."""
+    ship_package(docs.sparkSession)
+    return train(sample(docs.filter(~held_out(key)), key, text, lang))
+
+
+def held_out(key: str) -> Column:
+    """Whether crc32 of the key as text is 1 modulo 3; a null key is not held out."""
+    return F.coalesce(crc32_mod(key, 3) == 1, F.lit(False))
+
+
 def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text",
-             lang: str = "lang") -> DataFrame:
+             lang: str = "lang", network: Network | None = None) -> DataFrame:
     """All rows and columns, with `held_out` (crc32 of the key as text is 1 modulo 3),
     `lang_pred` and `score`, the mean probability of that language over the text's bytes.
 
-    The network learns from rows that are not held out and have a language; key and language are no
-    input of a prediction, so equal texts have equal results. A text that is null or has no letter
-    gets "und" and score 0, as does every text if there is nothing to learn from. A null key is not
-    held out. Ties go to the language that sorts first. Columns of the input with the names of new
-    ones are replaced.
+    The network (by default one that `learn` makes of docs) learns from rows that are not held out
+    and have a language; key and language are no input of a prediction, so equal texts have equal
+    results. Texts of any length are read whole. A text that is null or has no letter gets "und" and
+    score 0, as does every text if there is nothing to learn from; an empty table gives no rows. A
+    null key is not held out. Ties go to the language that sorts first. Columns of the input with the
+    names of new ones are replaced, all others stay.
     """
-    ship_package(spark)
-    held_out = F.coalesce(crc32_mod(key, 3) == 1, F.lit(False))
-    network = train(sample(docs.filter(~held_out), key, text, lang))
+    network = network or learn(docs, key, text, lang)
     shared = spark.sparkContext.broadcast(network)      # a few thousand numbers
+    (found,) = free(docs, "_found")
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def language_of(texts: pa.Array) -> pa.Array:
         own = shared.value
-        found = texts.to_pylist()
-        read = [k for k, t in enumerate(found) if own.languages and has_letter(t)]
-        names, scores = [UNKNOWN] * len(found), np.zeros(len(found))
+        given = texts.to_pylist()
+        read = [k for k, t in enumerate(given) if own.languages and has_letter(t)]
+        names, scores = [UNKNOWN] * len(given), np.zeros(len(given))
         for at in range(0, len(read), TEXTS_AT_ONCE):
             few = read[at:at + TEXTS_AT_ONCE]
-            pooled = own.pooled([found[k].encode() for k in few])
+            pooled = own.pooled([given[k].encode() for k in few])
             scores[few] = pooled.max(axis=1)
             for k, best in zip(few, pooled.argmax(axis=1).tolist()):
                 names[k] = own.languages[best]
         return pa.StructArray.from_arrays([pa.array(names), pa.array(np.clip(scores, 0, 1))],
                                           ["lang_pred", "score"])
-    return (docs.withColumn("_found", language_of(text_or_empty(text)))
-            .withColumn("held_out", held_out)
-            .withColumn("lang_pred", F.col("_found.lang_pred"))
-            .withColumn("score", F.col("_found.score")).drop("_found"))
+    return (docs.withColumn(found, language_of(text_or_empty(text)))
+            .withColumn("held_out", held_out(key))
+            .withColumn("lang_pred", F.col(f"{found}.lang_pred"))
+            .withColumn("score", F.col(f"{found}.score")).drop(found))
 
 
 def accept(spark: SparkSession, docs: DataFrame, least: float = 0.3, key: str = "doc_id",
            text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows whose text is in one of the learned languages: not "und", and scored `least` or
-    more. Columns stay as they are. With no labelled row at all nothing can be judged; then the
-    texts that have a letter stay."""
-    found = identify(spark, docs, key, text, lang)
-    known = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)
-    if not docs.filter(F.col(lang).isNotNull()).limit(1).count():
-        known = text_or_empty(text).rlike(r"\p{L}")
-    return found.filter(known).select(*docs.columns)
+    more. Columns stay as they are, whatever their names. If nothing was learned (no row that is not
+    held out has text and a language), nothing can be judged; then the texts that have a letter stay."""
+    network = learn(docs, key, text, lang)
+    if not network.languages:
+        return docs.filter(text_or_empty(text).rlike(r"\p{L}"))
+    # The input is one column beside the text, so that its names cannot clash with the new ones.
+    packed = docs.select(F.struct(*named(docs)).alias("row"), text_or_empty(text).alias("text"),
+                         F.lit(None).cast("long").alias("doc_id"))
+    found = identify(spark, packed, network=network)
+    return (found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least))
+            .select("row.*"))

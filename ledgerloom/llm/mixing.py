@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import staged, text_or_empty
+from ledgerloom.llm.common import free, quoted, staged, text_or_empty
 
 #: The table of sources is sent to every task up to this many rows; beyond, it is joined.
 BROADCAST_SOURCES = 10_000
@@ -40,7 +40,7 @@ def poisson_steps(mean: Column) -> Column:
 def volumes(docs: DataFrame, source: str = "source", text: str = "text") -> DataFrame:
     """Characters of each source; every document counts as one at least."""
     size = F.greatest(F.length(text_or_empty(text)), F.lit(1)).cast("long")
-    return (docs.select(F.col(source).alias("_source"), size.alias("_size"))
+    return (docs.select(F.col(quoted(source)).alias("_source"), size.alias("_size"))
             .groupBy("_source").agg(F.sum("_size").alias("_volume")))
 
 
@@ -70,21 +70,29 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, power: float = 0.5,
     `shuffle_key`, dealt over partitions by `shuffle_key` and ordered by it inside each.
 
     Null sources are a source of their own. Null ids draw by the text's hash; repeated rows draw
-    alike. Empty input: no rows. Columns named rate, copy or shuffle_key are replaced.
+    alike, and are dealt over partitions one by one. Empty texts count as one character; empty input
+    gives no rows. Columns named rate, copy or shuffle_key are replaced, all others stay, whatever
+    their names.
     """
+    docs = docs.drop("rate", "copy", "shuffle_key")
+    own, mean, steps, draw, count, salt = free(docs, "_source", "_rate", "_steps", "_draw", "_count",
+                                               "_salt")
     table = staged(rates(staged(volumes(docs, source, text)), weights, power, epochs)
                    .withColumn("_steps", poisson_steps(F.col("_rate"))))
-    if table.count() <= BROADCAST_SOURCES:
-        table = F.broadcast(table)
-    identity = F.coalesce(F.col(key).cast("string"),
+    few = table.count() <= BROADCAST_SOURCES
+    table = table.toDF(own, mean, steps)
+    identity = F.coalesce(F.col(quoted(key)).cast("string"),
                           F.concat(F.lit("text:"), F.md5(text_or_empty(text))))
-    drawn = (docs.drop("rate", "copy", "shuffle_key")
-             .join(table, F.col(source).eqNullSafe(F.col("_source")), "inner").drop("_source")
-             .withColumn("_draw", uniform(F.lit(seed), identity))
-             .withColumn("_count", F.size(F.filter("_steps", lambda c: c <= F.col("_draw"))))
-             .filter("_count > 0"))
-    copies = (drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("_count") - 1)))
+    drawn = (docs.join(F.broadcast(table) if few else table,
+                       F.col(quoted(source)).eqNullSafe(F.col(own)), "inner").drop(own)
+             .withColumn(draw, uniform(F.lit(seed), identity))
+             .withColumn(count, F.size(F.filter(steps, lambda c: c <= F.col(draw))))
+             .filter(F.col(count) > 0).withColumn("rate", F.col(mean)))
+    copies = (drawn.withColumn("copy", F.explode(F.sequence(F.lit(0), F.col(count) - 1)))
               .withColumn("shuffle_key", F.md5(F.concat_ws("|", F.lit(seed), identity,
                                                            F.col("copy").cast("string"))))
-              .withColumnRenamed("_rate", "rate").drop("_steps", "_draw", "_count"))
-    return copies.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
+              .drop(mean, steps, draw, count)
+              # Rows that share an id share all keys; their places tell them apart.
+              .withColumn(salt, F.monotonically_increasing_id()))
+    return (copies.repartition("shuffle_key", salt).drop(salt)
+            .sortWithinPartitions("shuffle_key"))

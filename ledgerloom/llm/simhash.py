@@ -251,16 +251,3 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
                                   "fp", "left")
                     .select("fp", F.coalesce("least", "first").alias("component_id")))
     return prints.join(labels, "fp").select(key, "fp", "component_id")
-
-
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text",
-                radius: int = RADIUS) -> DataFrame:
-    """The documents, one of each group of near-duplicates: that with the smallest key. Rows that
-    repeat a key are copies of one document, of which the one with the smallest text stays. Rows
-    without a key are kept, since nothing tells them apart. All columns stay as they are."""
-    found = near_duplicates(docs, key, text, radius)
-    kept = found.filter(F.col(key) == F.col("component_id")).select(key).distinct()
-    copies = Window.partitionBy(key).orderBy(F.col(text).asc_nulls_first())
-    chosen = (docs.join(staged(kept), key).select(*docs.columns)
-              .withColumn("_place", F.row_number().over(copies)).filter("_place = 1"))
-    return chosen.drop("_place").unionByName(docs.filter(F.col(key).isNull()))

@@ -11,14 +11,15 @@ from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import staged
+from ledgerloom.llm.common import named, quoted, staged
 
 NGRAM = 3
 FEATURES = 1 << 12
 ITERATIONS, PENALTY = 30, 0.01
-#: Rows that the model may learn from; beyond, the first by a hash of host and path.
-SAMPLE_ROWS = 5_000
+#: Different (host, path) of each verdict that the model may learn from: the first by a hash.
+PER_VERDICT = 2_500
 ALLOW, BLOCK = "allow", "block"
+NEW = ("host", "path", "rule", "verdict")
 
 
 @dataclass(frozen=True)
@@ -70,11 +71,14 @@ def features(df: DataFrame, host: str = "host", path: str = "path") -> DataFrame
 
 
 def learn(labelled: DataFrame):
-    """A model from (host, path, verdict), or the only verdict there is ("allow" if none).
-    The sample is bounded by SAMPLE_ROWS, and balanced by weights."""
-    rows = (labelled.select("host", "path", F.col("verdict"))
+    """A model from (host, path, verdict), or the only verdict there is ("allow" if none). Rows are
+    told apart first, so a frequent URL is one lesson; PER_VERDICT of each verdict are taken, and
+    balanced by weights."""
+    rows = (labelled.select("host", "path", "verdict").distinct()
             .withColumn("_order", F.xxhash64("host", "path")))
-    few = staged(features(rows.orderBy("_order", "host", "path", "verdict").limit(SAMPLE_ROWS)
+    taken = [rows.filter(F.col("verdict") == v).orderBy("_order", "host", "path").limit(PER_VERDICT)
+             for v in (ALLOW, BLOCK)]
+    few = staged(features(taken[0].union(taken[1])
                           .withColumn("label", (F.col("verdict") == BLOCK).cast("double")))
                  .select("_features", "label"))
     counts = {r["label"]: r["count"] for r in few.groupBy("label").count().collect()}
@@ -96,10 +100,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule], labelled: DataFrame | None =
     equal verdicts. Columns of the input with these four names are replaced; an empty table gives no
     rows.
     """
+    given = pages.select(F.struct(*named(pages)).alias("row"), F.col(quoted(url)).alias("url"))
     name, verdict = longest_rule(rules, F.col("host"), F.col("path"))
-    ruled = (pages.withColumn("_url", F.col(url)).drop("host", "path", "rule", "verdict")
-             .withColumns(dict(zip(("host", "path"), host_and_path(F.col("_url")))))
-             .drop("_url")
+    ruled = (given.withColumns(dict(zip(("host", "path"), host_and_path(F.col("url")))))
              .withColumn("rule", name).withColumn("verdict", verdict))
     if labelled is None:
         lessons = ruled.filter(F.col("rule").isNotNull()).select("host", "path", "verdict")
@@ -108,8 +111,10 @@ def judge(pages: DataFrame, rules: Sequence[Rule], labelled: DataFrame | None =
         lessons = labelled.select(host.alias("host"), path.alias("path"), "verdict")
     model = learn(lessons)
     if isinstance(model, str):
-        return ruled.withColumn("verdict", F.coalesce("verdict", F.lit(model)))
-    judged = model.transform(features(ruled))
-    learned = F.when(F.col("_blocked") == 1.0, BLOCK).otherwise(ALLOW)
-    return (judged.withColumn("verdict", F.coalesce("verdict", learned))
-            .drop("_features", "_chance", "_raw", "_blocked"))
+        judged = ruled.withColumn("verdict", F.coalesce("verdict", F.lit(model)))
+    else:
+        learned = F.when(F.col("_blocked") == 1.0, BLOCK).otherwise(ALLOW)
+        judged = (model.transform(features(ruled))
+                  .withColumn("verdict", F.coalesce("verdict", learned)))
+    kept = [F.col(f"row.{quoted(c)}") for c in pages.columns if c not in NEW]
+    return judged.select(*kept, *NEW)

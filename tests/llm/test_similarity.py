@@ -114,10 +114,7 @@ def test_near_duplicates_of_odd_rows(spark):
     got = sorted(simhash.near_duplicates(docs).select("doc_id", "component_id").collect(), key=str)
     want = [(4, 4), (5, 4), (7, 7), (7, 7), (8, 8), (9, 4), (None, 7), (None, None)]
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
-    kept = simhash.deduplicate(docs).collect()
-    assert sorted((r.doc_id for r in kept), key=str) == sorted([4, 7, 8, None, None], key=str)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
-    assert simhash.deduplicate(docs.limit(0)).columns == docs.columns
 
 
 @pytest.mark.parametrize("links", [[], [(1, 1)], [(None, 1), (2, 3)], [(k, k + 1) for k in range(60)],
@@ -290,7 +287,8 @@ def test_copies_at_all_likenesses(spark, monkeypatch, block):
     frame = spark.createDataFrame(docs, "doc_id long, text string")
     got = [r.doc_id for r in copies.deduplicate(frame).collect()]
     assert sorted(got, key=str) == kept_rows(docs)
-    assert len(got) < len(docs) / 2 and len(simhash.deduplicate(frame).collect()) > 1.3 * len(got)
+    groups = simhash.near_duplicates(frame).select("component_id").distinct().count()
+    assert len(got) < len(docs) / 2 and groups > 1.3 * len(got)
 
 
 @pytest.mark.parametrize("share", [0.97, 0.9, 0.85, 0.8])
