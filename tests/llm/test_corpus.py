@@ -415,17 +415,19 @@ def test_windows_cover_every_byte_once():
 
 
 def test_url_verdicts_of_held_out_pages(spark):
-    """Pages that rules decide, split in two: the model learns from one half and judges the other."""
-    pages = catalog.table(spark, "/root/testdata/sf0.01", "pages").select("page_id", "url")
+    """Pages that rules decide, in two halves, each judged by a model of the other. sf0.1, since 39
+    lessons of sf0.01 are too few to say anything (recall of "block" 0.4 and 0.6 by half there)."""
+    pages = catalog.table(spark, "/root/testdata/sf0.1", "pages").select("page_id", "url")
     ruled = urlfilter.judge(pages, catalog.RULES).filter("rule IS NOT NULL")
-    half = F.pmod(F.xxhash64("host", "path"), F.lit(2)) == 0
-    judged = urlfilter.judge(ruled.filter(~half).select("url", F.col("verdict").alias("true")), (),
-                             ruled.filter(half).select("url", "verdict")).collect()
-    right = sum(r["verdict"] == r["true"] for r in judged) / len(judged)
-    blocked = [r for r in judged if r["true"] == "block"]
-    recall = sum(r["verdict"] == "block" for r in blocked) / len(blocked)
-    print("accuracy", right, "recall of block", recall, len(judged))
-    assert right > 0.75 and recall > 0.6
+    seen = []
+    for k in (0, 1):
+        half = F.pmod(F.xxhash64("host", "path"), F.lit(2)) == k
+        lessons = ruled.filter(half).select("url", "verdict")
+        asked = ruled.filter(~half).select("url", F.col("verdict").alias("true"))
+        seen += [(r["true"], r["verdict"]) for r in urlfilter.judge(asked, (), lessons).collect()]
+    blocked = [found for true, found in seen if true == "block"]
+    assert sum(true == found for true, found in seen) / len(seen) > 0.9         # measured: 0.940
+    assert blocked.count("block") / len(blocked) > 0.8                          # measured: 0.840
 
 
 def test_one_frequent_url_is_one_lesson(spark):
@@ -435,7 +437,15 @@ def test_one_frequent_url_is_one_lesson(spark):
 
 
 def test_rows_of_one_id_are_dealt_over_partitions(spark):
-    docs = spark.createDataFrame([(1, f"text {k}", "s") for k in range(400)], "doc_id long, text string, source string")
-    mixed = mixing.mix(docs, epochs=9.0).withColumn("p", F.spark_partition_id())
-    n = mixed.count()
-    assert n and n % 400 == 0 and mixed.select("p").distinct().count() > 1
+    """They have one shuffle key; rows so few would share a partition by coalescing alone."""
+    docs = spark.createDataFrame([(1, f"text {k}", "s") for k in range(400)],
+                                 "doc_id long, text string, source string")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        mixed = mixing.mix(docs, epochs=9.0).withColumn("p", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set(setting, before)
+    assert mixed and len(mixed) % 400 == 0
+    assert len({r.p for r in mixed}) > 1 and len({r.shuffle_key for r in mixed}) == len(mixed) // 400
