@@ -7,7 +7,10 @@ writer per table.
 A step whose rows come from elsewhere is repaired by running it again. A step that rewrites
 partitions from the table's own rows (`upsert`, `compact`) writes the new rows beside the table
 first and switches then; a crash between leaves them there, and the next writer finishes the switch
-(`recover`)."""
+(`recover`).
+
+A table may be `indexed` on its key: its files then carry a Bloom filter on it in each row group, and
+the keys of a batch are searched only in row groups whose filter holds one of them (`known`)."""
 from __future__ import annotations
 
 import json
@@ -23,12 +26,18 @@ from pyspark.sql.types import StructField, StructType
 
 from ledgerloom.operators.dedup import first_per
 
+#: Keys of a batch up to this number are searched by the files' Bloom filters; more by a join. A row
+#: group without any of so many keys is read by mistake with a chance of LOOKUP_KEYS * BLOOM_ERROR.
+LOOKUP_KEYS = 10_000
+BLOOM_ERROR, BLOOM_KEYS, BLOOM_BYTES = 1e-6, 1 << 20, 4 << 20      # keys and bytes of a row group
+
 
 @dataclass(frozen=True)
 class Table:
     spark: SparkSession
     path: str
     partitions: tuple[str, ...] = ()
+    indexed: str | None = None
 
     # ------------------------------------------------------------------ reading
     def schema_or_none(self) -> StructType | None:
@@ -84,10 +93,20 @@ class Table:
         most of the rows over several tasks and merges the small ones."""
         return df.hint("rebalance", *self.partitions) if self.partitions else df
 
+    def _options(self) -> dict[str, str]:
+        """Bloom filters on the key; each takes the size that its row group's keys need."""
+        if not self.indexed:
+            return {}
+        own = {"enabled": "true", "fpp": str(BLOOM_ERROR), "expected.ndv": str(BLOOM_KEYS)}
+        return {**{f"parquet.bloom.filter.{k}#{self.indexed}": v for k, v in own.items()},
+                "parquet.bloom.filter.adaptive.enabled": "true",
+                "parquet.bloom.filter.max.bytes": str(BLOOM_BYTES)}
+
     def append(self, df: DataFrame) -> None:
         current = self.schema_or_none()
         df = df if current is None else align(df, current)
-        self._spread(df).write.mode("append").partitionBy(*self.partitions).parquet(self.path)
+        (self._spread(df).write.mode("append").options(**self._options())
+         .partitionBy(*self.partitions).parquet(self.path))
         self._remember(df.schema)
 
     def replace(self, df: DataFrame) -> None:
@@ -110,7 +129,7 @@ class Table:
         seen = Observation()
         watched = df.observe(seen, F.count(F.lit(1)).alias("n"),
                              F.collect_set(F.struct(*self.partitions)).alias("written"))
-        (self._spread(watched).write.mode("overwrite")
+        (self._spread(watched).write.mode("overwrite").options(**self._options())
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy(*self.partitions).parquet(self.path))
         self._remember(df.schema)
@@ -168,15 +187,18 @@ class Table:
                    same_partition: bool = False) -> int:
         """Appends the rows whose key is not in the table: a replay adds nothing.
 
-        Only the key column of the table is read. `same_partition=True` also limits it to
-        the source's partitions; use it when a key can never change partition."""
+        Only the key column of the table is read, and of a table that is indexed on the key only the
+        row groups that may hold a key of the batch. `same_partition=True` also limits it to the
+        source's partitions; use it when a key can never change partition."""
         current = self.read_or_none()
         new = source
         if current is not None:
-            known = current
+            present = current
             if same_partition:
-                known = known.filter(self._in({tuple(r) for r in self._partition_values(source)}))
-            new = align(not_in(source, known, key), current.schema)
+                present = present.filter(self._in({tuple(r) for r in self._partition_values(source)}))
+            if key == self.indexed:
+                present = known(present, source, key)
+            new = align(not_in(source, present, key), current.schema)
         seen = Observation()
         self.append(new.observe(seen, F.count(F.lit(1)).alias("n")))
         return observed(seen).get("n", 0)
@@ -245,8 +267,9 @@ class Warehouse:
     spark: SparkSession
     root: str
 
-    def table(self, layer: str, name: str, partitions: tuple[str, ...] = ()) -> Table:
-        return Table(self.spark, f"{self.root}/{layer}/{name}", partitions)
+    def table(self, layer: str, name: str, partitions: tuple[str, ...] = (),
+              indexed: str | None = None) -> Table:
+        return Table(self.spark, f"{self.root}/{layer}/{name}", partitions, indexed)
 
 
 def observed(seen: Observation) -> dict:
@@ -268,6 +291,19 @@ def align(df: DataFrame, schema: StructType) -> DataFrame:
     return df.select(*kept, *added)
 
 
+def known(table: DataFrame, source: DataFrame, key: str) -> DataFrame:
+    """The keys of `source` that `table` holds, for a table whose files have Bloom filters on it.
+
+    Up to LOOKUP_KEYS keys reach the driver and go back as a list that the scan is given: row groups
+    whose range or filter excludes all of them are not read. More keys would hit every filter by
+    chance, so they are joined."""
+    wanted = source.filter(F.col(key).isNotNull()).select(key).distinct()
+    few = [r[0] for r in wanted.limit(LOOKUP_KEYS + 1).collect()]
+    if len(few) > LOOKUP_KEYS:
+        return table.select(key).join(wanted, key, "left_semi")
+    return table.filter(F.col(key).isin(few)).select(key)
+
+
 def not_in(source: DataFrame, target: DataFrame, key: str) -> DataFrame:
     return source.join(target.select(key), key, "left_anti")
 

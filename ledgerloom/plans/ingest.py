@@ -30,10 +30,12 @@ AUDIT_TABLES = {
 
 
 def table_for(warehouse: Warehouse, layer: str, contract: Contract) -> Table:
-    """First level: country and business day. Bronze: country and ingestion day."""
+    """First level: country and business day. Bronze: country and ingestion day; there the key of an
+    event may be in any partition, so its files are indexed on it."""
     day = "ingest_day" if layer == "bronze" else contract.day_column
+    indexed = contract.key if layer == "bronze" and contract.kind == "event" else None
     return warehouse.table(layer, contract.name, ("country_code", day) if day
-                           else ("country_code",))
+                           else ("country_code",), indexed)
 
 
 def with_partitions(df: DataFrame, table: Table) -> DataFrame:

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import quality
+from ledgerloom.operators import quality, tables
 from ledgerloom.operators.dedup import latest
 from ledgerloom.operators.lookup import attach, full_outer_hot
 from ledgerloom.operators.tables import Table, Warehouse, create_table_sql, merge_result
@@ -167,3 +167,51 @@ def test_a_crash_between_writing_and_switching_loses_nothing(spark, tmp_path, mo
     got = {r["id"]: (r["country_code"], r["v"]) for r in table.read().collect()}
     want = {k: (c, v) for k, c, v in rows} | {1: ("SN", "new"), 9: ("CI", "new")}
     assert got == want
+
+
+# ---- tables indexed on their key
+
+def rows_read(frame):
+    """Rows that came out of the scan: of the row groups that were not skipped."""
+    frame.collect()
+    node = frame._jdf.queryExecution().executedPlan()
+    while node.children().size():
+        node = node.children().head()
+    return node.metrics().apply("numOutputRows").value()
+
+
+@pytest.fixture
+def indexed(spark, tmp_path):
+    """Eight appends of 500 keys that no range separates, a file or more each."""
+    table = Table(spark, str(tmp_path / "k"), ("country_code", "event_day"), indexed="id")
+    for part in range(8):
+        own = spark.range(part, 4000, 8).select(
+            F.md5(F.col("id").cast("string")).alias("id"), F.lit("CI").alias("country_code"),
+            F.lit(D1).alias("event_day"), F.lit(part).alias("v"))
+        assert table.insert_new(own.coalesce(1), "id") == 500
+    return table
+
+
+def test_only_row_groups_that_may_hold_a_key_are_read(spark, indexed):
+    of_one_file = indexed.read().filter("v = 3").limit(40).select("id")
+    batch = of_one_file.union(spark.createDataFrame([(f"new{k}",) for k in range(40)], "id STRING"))
+    found = tables.known(indexed.read(), batch, "id")
+    assert rows_read(found) == 500 and found.count() == 40
+    none = tables.known(indexed.read(), spark.createDataFrame([(f"{k:032x}",) for k in range(500)],
+                                                              "id STRING"), "id")
+    assert rows_read(none) == 0
+    plain = Table(spark, indexed.path + "-plain", indexed.partitions)
+    plain.append(indexed.read())
+    assert rows_read(tables.known(plain.read(), batch, "id")) > 500
+
+
+@pytest.mark.parametrize("most", [tables.LOOKUP_KEYS, 5])
+def test_replay_of_an_indexed_table_inserts_nothing(spark, indexed, monkeypatch, most):
+    """Whether the keys are few enough for the filters or not."""
+    monkeypatch.setattr(tables, "LOOKUP_KEYS", most)
+    again = indexed.read().filter("v IN (1, 6)").unionByName(
+        spark.createDataFrame([("new1", "CI", D2, 9), ("new2", "SN", D2, 9), (None, "SN", D2, 9)], DDL))
+    assert indexed.insert_new(again, "id") == 3
+    assert indexed.insert_new(again.filter("id IS NOT NULL"), "id") == 0
+    assert indexed.read().count() == 4003
+    assert indexed.insert_new(again.limit(0), "id") == 0
