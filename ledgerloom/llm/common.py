@@ -1,6 +1,7 @@
 """Helpers shared by the operators of this package."""
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -32,6 +33,17 @@ def ship_package(spark: SparkSession) -> None:
         context.addPyFile(shutil.make_archive(str(to), "zip", package.parent, package.name))
 
 
+def give_back() -> None:
+    """Returns what a Python worker has freed to the system. Workers live on between stages, and
+    would keep the most that any of them needed."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)         # of glibc only
+    if trim:
+        trim(0)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

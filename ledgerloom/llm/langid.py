@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import (crc32_mod, free, named, quoted, ship_package, staged,
+from ledgerloom.llm.common import (crc32_mod, free, give_back, named, quoted, ship_package, staged,
                                    text_or_empty)
 
 WINDOW, CONTEXT = 64, 12
@@ -290,6 +290,7 @@ def identify(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: st
             scores[few] = pooled.max(axis=1)
             for k, best in zip(few, pooled.argmax(axis=1).tolist()):
                 names[k] = own.languages[best]
+        give_back()
         return pa.StructArray.from_arrays([pa.array(names), pa.array(np.clip(scores, 0, 1))],
                                           ["lang_pred", "score"])
     return (docs.withColumn(found, language_of(text_or_empty(text)))

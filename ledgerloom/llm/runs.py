@@ -9,11 +9,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import staged
+from ledgerloom.llm.common import give_back, staged
 
 LEVEL = 3                       # of zstd
 BLOCK = 8192                    # records that are packed and read together
-FAN_IN = 64                     # indexes that one task merges
+FAN_IN = 128                    # indexes that one task merges
 
 
 def packed_table(batches: list[pa.RecordBatch], schema: pa.Schema) -> bytes:
@@ -123,6 +123,7 @@ def answered(indexes: DataFrame, counts: DataFrame, runs: int, each: int) -> Dat
             for packed in asked.column("index"):
                 at = np.searchsorted(keys, unpack_index(packed.as_py())[0])
                 out.append(squeeze([tuple(c[at] for c in columns)]))
+        give_back()
         return pa.table({"run": asked.column("run").cast(pa.int64()),
                          "section": asked.column("section").cast(pa.int32()),
                          "answer": pa.array(out, pa.binary())})
