@@ -627,12 +627,7 @@ from d_stream where stream_reason <> '' group by 2, 3""", "d_stream")
 def parse_messages(lake):
     """Valid rows once per key; rejected ones with their reasons, repeats not reported."""
     batch = messages.check_messages(_raw_messages(lake), BANK_TRANSACTIONS, 7, AS_OF)
-    valid = batch.valid.select(F.lit("valid").alias("side"),
-                               F.col("transaction_id").alias("record_key"),
-                               F.lit("").alias("reject_reason"))
-    both = valid.unionByName(batch.rejected.select(F.lit("rejected").alias("side"), "record_key",
-                                                   "reject_reason"))
-    return both.groupBy("side", "record_key", "reject_reason").agg(F.count("*").alias("nb"))
+    return batch.sides.groupBy("side", "record_key", "reject_reason").agg(F.count("*").alias("nb"))
 
 
 def _letters(lake):

@@ -40,7 +40,8 @@ def mark_copies(df: DataFrame, key: str, row_id: str, newest_file_wins: bool,
     Every copy is needed (each one is rejected and logged), so there is no group limit to prune
     them. Ranking runs in two levels: first inside (key, slice), where the slice comes from
     `row_id`, so even a group of identical rows is spread over `spread` tasks; then among the
-    slice winners, at most `spread` rows per key. Rows that are not eligible form groups of one.
+    slice winners, at most `spread` rows per key, while the losers stay in their slices. Rows that are
+    not eligible form groups of one. It is one frame, so its input is planned once.
     `row_id` must be stable when a task is recomputed: numbered at the scan, or a message
     position."""
     by_file = F.col("_source_file").desc() if newest_file_wins else F.col("_source_file").asc()
@@ -53,7 +54,8 @@ def mark_copies(df: DataFrame, key: str, row_id: str, newest_file_wins: bool,
                              "_slice": F.pmod(F.xxhash64(row_id), F.lit(spread))})
     local = sliced.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_group", "_slice").orderBy(*order)))
-    losers = local.filter("_local > 1").withColumn("_is_copy", F.lit(True))
-    final = F.row_number().over(Window.partitionBy("_group").orderBy(*order, F.col("_slice")))
-    finalists = local.filter("_local = 1").withColumn("_is_copy", final > 1)
-    return losers.unionByName(finalists).drop("_content", "_slice", "_local", "_group")
+    lane = F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_slice"))
+    final = F.row_number().over(Window.partitionBy("_group", "_lane").orderBy(*order, F.col("_slice")))
+    ranked = local.withColumn("_lane", lane).withColumn("_final", final)
+    return (ranked.withColumn("_is_copy", (F.col("_local") > 1) | (F.col("_final") > 1))
+            .drop("_content", "_slice", "_local", "_group", "_lane", "_final"))

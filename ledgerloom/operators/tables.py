@@ -145,6 +145,12 @@ class Table:
         self.recover()
         return self._switch(self.read_latest(key, order, **filters), set())
 
+    def rewrite(self, df: DataFrame, before: set[tuple]) -> int:
+        """Replaces partitions by rows made from the table's own; those of `before` that get no row
+        are emptied."""
+        self.recover()
+        return self._switch(df, before)
+
     def _beside(self, name: str) -> str:
         return f"{self.path}/_{name}"       # readers skip names that start like this
 

@@ -19,7 +19,9 @@ CORE = ("skip_ingested_antijoin", "topic_as_table", "merge_insert_only", "merge_
         "silver_loans", "dedup_in_batch", "daily_transaction_volume", "npl_ratio", "arpc_monthly",
         "cross_border_weekly", "regulatory_bank_daily", "dq_orphans", "top_products",
         "lambda_merged", "burst_alerts", "liquidity_alerts", "suppress_repeats", "parse_messages",
-        "topic_lag", "stream_lag", "slo_breaches")
+        "topic_lag", "stream_lag", "slo_breaches", "gold_daily_refreshed", "gold_weekly_refreshed",
+        "gold_touched_groups", "active_users_monthly", "active_users_to_date", "claim_times_from_days",
+        "csv_to_envelope", "to_message_json", "ingestion_log", "join_fx_broadcast", "pii_leak_scan")
 NAMES = sorted(QUERIES) if os.environ.get("ORACLE_ALL") else CORE
 
 
