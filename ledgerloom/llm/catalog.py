@@ -48,7 +48,8 @@ WITH whole AS (
 scored AS (
   SELECT q.vec_id AS query_id, s.vec_id,
          CAST(list_sum(list_transform(list_zip(q.v, s.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM whole q JOIN whole s ON q.vec_id <> s.vec_id WHERE q.vec_id % 100 = 0)
+  FROM (SELECT DISTINCT vec_id, v FROM whole WHERE vec_id % 100 = 0) q
+       JOIN whole s ON q.vec_id <> s.vec_id)
 SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
   FROM scored)

@@ -87,8 +87,9 @@ def _assigned(vectors: DataFrame, space: Space, query: bool) -> DataFrame:
             cell = far.argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(cell.astype(np.int32)),
-                 pa.array(far[np.arange(len(cell)), cell])], ["vec_id", "vec", "cell", "far"])
-    return vectors.mapInArrow(assign, "vec_id long, vec binary, cell int, far double")
+                 pa.array(far[np.arange(len(cell)), cell]), batch.column(3)],
+                ["vec_id", "vec", "cell", "far", "copies"])
+    return vectors.mapInArrow(assign, "vec_id long, vec binary, cell int, far double, copies long")
 
 
 @dataclass
@@ -149,8 +150,9 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 102
     each query, ties to the smaller id; queries are the rows whose id is divisible by `every`.
 
     Components are floor(scale * x). Rows whose id or vector is null, or whose vector holds a null
-    or a number that isn't finite, take no part. A row that repeats id and vector counts once. Rows
-    with the query's id are never its neighbours; queries that share an id share a result. Vectors
+    or a number that isn't finite, take no part. A row that repeats id and vector is searched once, and
+    stands in a result as often as it is there. Rows with the query's id are never its neighbours;
+    queries that share an id share a result, and the same query again adds nothing. Vectors
     of unlike width are compared over the components both have; components and scores must fit
     64 bits. With fewer candidates than k, all
     are returned; an empty table gives no rows.
@@ -159,7 +161,8 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 102
     ship_package(spark)
     vectors = staged(embeddings.select(F.col(key).cast("long"), F.col(vector))
                      .mapInArrow(lambda b: _vectors(b, scale),
-                                 "vec_id long, vec binary, square double").distinct())
+                                 "vec_id long, vec binary, square double")
+                     .groupBy("vec_id", "vec", "square").agg(F.count("*").alias("copies")))
     rows, most, width = vectors.agg(F.count("*"), F.max("square"),
                                     F.max(F.octet_length("vec"))).first()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
@@ -204,17 +207,19 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 102
                 part = batch.filter(pa.array(keep))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(part), g, np.int32)), *part.columns],
-                    ["g", "vec_id", "vec", "cell", "far"])
-    needed = (data.mapInArrow(replicate, "g int, vec_id long, vec binary, cell int, far double")
+                    ["g", "vec_id", "vec", "cell", "far", "copies"])
+    needed = (data.mapInArrow(replicate, "g int, vec_id long, vec binary, cell int, far double, "
+                                         "copies long")
               .withColumn("b", F.pmod(F.xxhash64("vec_id", "vec"), F.lit(blocks)).cast("int")))
     exact = most < EXACT        # then products and their sums are whole numbers in a double
     kind, wide = (np.float64 if exact else np.int64), width // 8
 
     def solve(asked: pa.Table, found: pa.Table) -> pa.Table:
-        out: list[list] = [[], [], []]
+        out: list[list] = [[], [], [], []]
         order = np.argsort(found.column("vec_id").to_numpy(), kind="stable")
         found = found.take(order)
-        ids, cell, far = (found.column(c).to_numpy() for c in ("vec_id", "cell", "far"))
+        ids, cell, far, copies = (found.column(c).to_numpy()
+                                  for c in ("vec_id", "cell", "far", "copies"))
         them = matrix(found.column("vec").to_pylist(), wide).astype(kind)
         query_ids, query_cell = (asked.column(c).to_numpy() for c in ("vec_id", "cell"))
         us = matrix(asked.column("vec").to_pylist(), wide).astype(kind)
@@ -231,10 +236,12 @@ def top_k(embeddings: DataFrame, k: int = 10, every: int = 100, scale: int = 102
                     out[0] += [q] * len(top)
                     out[1] += ids[near][other][top].tolist()
                     out[2] += line[other][top].tolist()
+                    out[3] += copies[near][other][top].tolist()
         return pa.table({n: pa.array(v, pa.int64())
-                         for n, v in zip(("query_id", "vec_id", "score"), out)})
+                         for n, v in zip(("query_id", "vec_id", "score", "copies"), out)})
     partial = (asked.groupBy("g", "b").cogroup(needed.groupBy("g", "b"))
-               .applyInArrow(solve, "query_id long, vec_id long, score long"))
+               .applyInArrow(solve, "query_id long, vec_id long, score long, copies long"))
+    times = F.sequence(F.lit(1), F.least(F.col("copies"), F.lit(k)).cast("int"))
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return (partial.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return (partial.withColumn("copy", F.explode(times)).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

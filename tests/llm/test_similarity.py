@@ -138,7 +138,7 @@ def slow_top_k(rows, k, every):
     out = []
     for q in sorted(i for i in whole if i % every == 0):
         scored = [(-sum(a * b for a, b in zip(whole[q][0], v)), i)
-                  for i in whole if i != q for v in dict.fromkeys(whole[i])]
+                  for i in whole if i != q for v in whole[i]]
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k])]
     return out
 
@@ -152,11 +152,23 @@ def test_top_k(spark, size):
     rows += [(160 + i, rows[3][1]) for i in range(30)]              # ties
     rows += [(300, None), (None, rows[0][1]), (301, [None] * 6), (302, [float("nan")] * 6),
              (303, [float("inf")] + [0.0] * 5), (310, []), (320, [1.0]), (50, rows[50][1])]
+    rows += [rows[41]] * 3 + [rows[77]] * 9                         # rows that stand in results again
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
     got = knn.top_k(frame.withColumn("rank", F.lit("clash")), k=5, every=10, **size).collect()
     assert sorted(map(tuple, got)) == slow_top_k(rows, 5, 10)
 
 
+def test_repeated_rows_by_operator_and_sql(spark):
+    rows = [(0, [1.0, 0.0])] * 2 + [(1, [0.5, 0.0])] * 2 + [(2, [0.9, 0.0]), (100, [0.0, 1.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    duck = duckdb.connect()
+    duck.register("given", frame.toArrow())
+    duck.execute("CREATE VIEW embeddings AS SELECT * FROM given")
+    got = sorted(map(tuple, knn.top_k(frame).collect()))
+    assert got == sorted(duck.execute(catalog.OP4_SQL).fetchall())
+    assert [(r[1], r[2]) for r in got if r[0] == 0] == [(1, 2), (2, 1), (3, 1), (4, 100)]
+
+
 def test_top_k_with_few_rows(spark):
     kind = "vec_id long, embedding array<float>"
     assert knn.top_k(spark.createDataFrame([], kind)).count() == 0
