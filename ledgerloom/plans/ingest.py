@@ -114,10 +114,46 @@ def _merge(valid: DataFrame, table: Table, contract: Contract) -> int:
     return 0
 
 
+#: Below the archive: files that no contract's header stands in.
+REFUSED_PREFIX = "_rejected_files"
+
+
+def archive(spark: SparkSession, warehouse: Warehouse, root: str, contract: Contract,
+            archive_root: str, layer: str = "bronze", countries=COUNTRIES) -> int:
+    """Moves the files that the journal has a row for out of the landing folder; how many moved.
+
+    Ingested files keep their key below `archive_root`, from where they can be replayed; those with
+    another header go below REFUSED_PREFIX. The journal is what decides, so a move that was cut short,
+    or never began because the run ended after the journal, is made up for by the next call. A file
+    that came again under the name of an archived one keeps both: its tag is added to the name.
+    File by file, by the driver: a rename is one call to the store, and no content passes."""
+    journal = warehouse.table("audit", "ingestion_log", AUDIT_TABLES["ingestion_log"][1]).read_or_none()
+    if journal is None:
+        return 0
+    done = (journal.filter((F.col("dataset") == contract.name)
+                           & (F.col("target_table") == f"{layer}.{contract.name}"))
+            .groupBy("file_key", "file_etag").agg(F.max(F.col("status") == "SUCCESS").alias("taken")))
+    waiting = landing.inventory(spark, root, contract, countries).join(done, ["file_key", "file_etag"])
+    moved, path_of = 0, spark._jvm.org.apache.hadoop.fs.Path
+    for r in waiting.select("path", "file_key", "file_etag", "taken").toLocalIterator():
+        base = archive_root if r["taken"] else f"{archive_root}/{REFUSED_PREFIX}"
+        source, target = path_of(r["path"]), path_of(f"{base}/{r['file_key']}")
+        files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+        if files.exists(target):
+            stem = r["file_key"].removesuffix(".csv")
+            target = path_of(f"{base}/{stem}~{r['file_etag']}.csv")
+        files.mkdirs(target.getParent())
+        if not files.rename(source, target):
+            raise OSError(f"cannot move {r['path']} to {target}")
+        moved += 1
+    return moved
+
+
 def ingest(spark: SparkSession, warehouse: Warehouse, root: str, contract: Contract,
-           layer: str = "bronze", countries=COUNTRIES, force: bool = False, now=None) -> Summary:
+           layer: str = "bronze", countries=COUNTRIES, force: bool = False, now=None,
+           archive_to: str | None = None) -> Summary:
     """Ingests the new files below `root` (a landing or an archive folder; for a replay pass
-    `force=True`).
+    `force=True`). With `archive_to` files are moved there when the journal has them (`archive`).
 
     The table is written first, then the rejects, then the journal, so that after a crash the files
     are read again; the merge adds nothing twice, and rejects and journal replace what the same
@@ -132,6 +168,8 @@ def ingest(spark: SparkSession, warehouse: Warehouse, root: str, contract: Contr
     summary.files_found = found.count()
     summary.files_skipped = summary.files_found - seen["n"]
     if not seen["n"]:
+        if archive_to:                  # files of a run that ended before its moves
+            archive(spark, warehouse, root, contract, archive_to, layer, countries)
         return summary
     summary.batch_id = f"{target}-{seen['mark'] & (1 << 64) - 1:016x}"
     lines = landing.landed_lines(spark, root, contract, countries, seen["oldest"])
@@ -164,6 +202,8 @@ def ingest(spark: SparkSession, warehouse: Warehouse, root: str, contract: Contr
     finally:
         batch.rows.unpersist()
         landed.lines.unpersist()
+    if archive_to:
+        archive(spark, warehouse, root, contract, archive_to, layer, countries)
     return summary
 
 

@@ -150,3 +150,37 @@ def test_nothing_to_report(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     with pytest.raises(FileNotFoundError):
         jobs.run_regulatory(warehouse, str(tmp_path / "o"), datetime(2026, 5, 4).date())
+
+
+# ---- archive
+
+def names_below(path):
+    return sorted(str(p.relative_to(path)) for p in path.rglob("*.csv"))
+
+
+def test_files_are_archived_after_the_journal(spark, tmp_path, monkeypatch):
+    """A crash between journal and move: nothing is lost, nothing comes twice, the next run moves."""
+    root, kept = tmp_path / "landing", tmp_path / "archive"
+    contract, name = CONTRACTS["bank_transactions"], "bank_transactions"
+    warehouse = Warehouse(spark, str(tmp_path / "lake"))
+    write_file(root / f"CI/{name}/1.csv", name, [bank(1, ACC)])
+    write_file(root / f"SN/{name}/wrong.csv", name, [bank(9, ACC)], header=["nope"] * 13)
+
+    def run(**more):
+        return ingest.ingest(spark, warehouse, str(root), contract, now=NOW, archive_to=str(kept), **more)
+    with monkeypatch.context() as broken:
+        broken.setattr(ingest, "archive", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run()
+    assert len(names_below(root)) == 2 and not kept.exists()
+    assert warehouse.table("audit", "ingestion_log").read().count() == 2
+    assert run().files_ingested == 0
+    assert names_below(root) == []
+    assert names_below(kept) == [f"CI/{name}/1.csv", f"_rejected_files/SN/{name}/wrong.csv"]
+
+    # The same name again, with other rows: both stay, and a replay of the archive adds nothing.
+    write_file(root / f"CI/{name}/1.csv", name, [bank(1, ACC), bank(2, ACC)])
+    assert run().rows_inserted == 1
+    assert names_below(root) == [] and len(names_below(kept)) == 3
+    again = ingest.ingest(spark, warehouse, str(kept), contract, now=NOW, force=True)
+    assert again.files_ingested == 2 and again.rows_inserted == 0
