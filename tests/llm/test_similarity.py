@@ -4,6 +4,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -303,6 +304,16 @@ def test_copies_at_all_likenesses(spark, monkeypatch, block):
     assert len(got) < len(docs) / 2 and groups > 1.3 * len(got)
 
 
+def test_fingerprints_that_differ_in_the_first_bit():
+    """Two sets that are 4 bits apart, the sign among them, are a pair; 25 bits apart they aren't."""
+    def pairs(fp):
+        rows = {"key": [1, 1], "cell": [0, 0], "own": [0, 0], "node": [b"a", b"b"], "root": [b"a", b"b"],
+                "size": [50, 50], "place": [0, 0], "fp": pa.array([0, fp], pa.int64())}
+        return sum(b.num_rows for b in copies._pair_batches(iter(pa.table(rows).to_batches())))
+    assert pairs(7 - 2 ** 63) == pairs(15) == pairs(-1 << 40) == 1
+    assert pairs((1 << 24) - 1 - 2 ** 63) == pairs(-1 << 39) == 0
+
+
 @pytest.mark.parametrize("share", [0.97, 0.9, 0.85, 0.8])
 def test_one_planted_copy(spark, share):
     """At the bound itself too: 45 of 50 shingles in either, 0.8181, and 40 of 45 and 45, 0.8."""
