@@ -1,0 +1,33 @@
+"""What must not follow the size of the data: sides of joins in the driver, rows made by one task."""
+import os
+import re
+
+import pytest
+
+import __spark_entry__ as driver
+from ledgerloom.operators import quality
+
+FOLDER = os.path.join("/root/testdata", os.environ.get("ORACLE_SF", "sf0.001"))
+QUERIES = driver.queries()
+pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test data")
+
+
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["dlq_records", "gold_daily_refreshed", "gold_weekly_refreshed",
+                                  "lambda_merged", "lambda_naive", "layer_counts", "orphan_split",
+                                  "pii_leak_scan", "quarantine_by_reason", "quarantine_replace",
+                                  "quarantine_union", "revenue_by_line", "weighted_metrics"])
+def test_only_rates_and_branches_are_broadcast_on_an_estimate(spark, name):
+    """Files of a few MB hold millions of customers and accounts; Spark sees the files only."""
+    keys = re.findall(r"BroadcastHashJoin \[([^\]#]+)", plan(QUERIES[name](spark, FOLDER)))
+    assert set(keys) <= {"currency", "branch_id", "country_code"}
+
+
+def test_known_keys_are_not_broadcast(spark):
+    facts = spark.createDataFrame([("0",), ("b",), ("b",)], "k STRING")
+    found = quality.orphans(facts, "k", spark.range(1).selectExpr("cast(id AS STRING) id"), "id", "x")
+    assert "BroadcastHashJoin" not in plan(found)
+    assert [tuple(r) for r in found.collect()] == [("x", 2)]
