@@ -4,7 +4,10 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as driver
+from ledgerloom.catalog import adapters
 from ledgerloom.operators import quality
 
 FOLDER = os.path.join("/root/testdata", os.environ.get("ORACLE_SF", "sf0.001"))
@@ -31,3 +34,22 @@ def test_known_keys_are_not_broadcast(spark):
     found = quality.orphans(facts, "k", spark.range(1).selectExpr("cast(id AS STRING) id"), "id", "x")
     assert "BroadcastHashJoin" not in plan(found)
     assert [tuple(r) for r in found.collect()] == [("x", 2)]
+
+
+def test_accounts_are_made_by_many_tasks(spark):
+    made = adapters.adapt(spark, FOLDER, "b_accounts")
+    assert made.select(F.spark_partition_id()).distinct().count() > 16
+    customers = adapters.table(spark, FOLDER, "customer").count()
+    assert made.select("account_id").distinct().count() == made.count() == 5 * customers
+
+
+@pytest.mark.parametrize("asked, held", [("128m", str(32 << 20)), ("134217728b", str(32 << 20)),
+                                         ("1gb", str(32 << 20)), ("16m", "16m"), ("1000", "1000")])
+def test_queries_read_small_splits(spark, asked, held):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", asked)
+        QUERIES["silver_accounts"](spark, FOLDER)
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == held
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
