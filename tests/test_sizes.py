@@ -53,3 +53,8 @@ def test_queries_read_small_splits(spark, asked, held):
         assert spark.conf.get("spark.sql.files.maxPartitionBytes") == held
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_messages_are_parsed_once(spark):
+    text = plan(QUERIES["parse_silver"](spark, FOLDER))
+    assert text.count("from_json(") == 1 and text.count("StructsToJsonEvaluator") == 1
