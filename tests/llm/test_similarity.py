@@ -347,3 +347,35 @@ def test_rows_without_or_with_repeated_ids(spark):
     got = copies.deduplicate(frame).collect()
     assert sorted(map(tuple, got), key=str) == sorted(
         [docs[0], docs[2], docs[4], docs[5], docs[6]], key=str)
+
+
+@pytest.mark.parametrize("together", [0, 3, copies.TOGETHER])
+def test_groups_of_any_size_lose_no_link(spark, monkeypatch, together):
+    """Sets that hang together are compared in one task or, when there are too many, as pairs."""
+    monkeypatch.setattr(copies, "TOGETHER", together)
+    docs = list(enumerate(planted(5, 8, 10)))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted((r.doc_id for r in copies.deduplicate(frame).collect()), key=str) == kept_rows(docs)
+
+
+def test_a_key_sends_on_rows_as_many_as_its_sets():
+    n = 300
+    node = [b"%03d" % k for k in range(n)]
+    rows = {"key": [1] * n, "cell": [0] * n, "own": [0] * n, "node": node, "root": node, "size": [50] * n,
+            "place": [0] * n, "fp": pa.array([k % 8 for k in range(n)], pa.int64())}
+    batches = pa.table(rows).to_batches()
+    assert sum(b.num_rows for b in copies._pair_batches(iter(batches))) == n * (n - 1) // 2
+    chain = [r for b in copies._chain_batches(iter(batches)) for r in b.to_pylist()]
+    assert len(chain) == n - 1 and {r["nu"] for r in chain} == {50}
+    assert len(set(roots_of(node, [(r["u"], r["v"]) for r in chain]).values())) == 1
+
+
+def test_sets_that_hang_together_are_compared_in_full():
+    """45 of 50 shingles in either is alike, 40 of 50 isn't; what is linked already is left."""
+    texts = [" ".join([f"a{k}" for k in range(54 - c)] + [f"{c}b{k}" for k in range(c)]) for c in (0, 5, 20)]
+    names = [b"a", b"b", b"c"]
+
+    def pairs(roots):
+        table = pa.table({"group": [b"a"] * 3, "node": names, "root": roots, "_text": texts})
+        return [(r["u"], r["v"]) for r in copies._linked_together(table).to_pylist()]
+    assert pairs(names) == [(b"a", b"b")] and pairs([b"a", b"a", b"c"]) == []
