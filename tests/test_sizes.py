@@ -5,9 +5,10 @@ import re
 import pytest
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 import __spark_entry__ as driver
-from ledgerloom.catalog import adapters
+from ledgerloom.catalog import adapters, lake, queries
 from ledgerloom.operators import quality
 
 FOLDER = os.path.join("/root/testdata", os.environ.get("ORACLE_SF", "sf0.001"))
@@ -58,3 +59,12 @@ def test_queries_read_small_splits(spark, asked, held):
 def test_messages_are_parsed_once(spark):
     text = plan(QUERIES["parse_silver"](spark, FOLDER))
     assert text.count("from_json(") == 1 and text.count("StructsToJsonEvaluator") == 1
+
+
+def test_leak_scan_reads_every_text_column(spark):
+    made = lake.Lake(spark, FOLDER)
+    frames = {n: made.silver(n) for n in queries._SILVER_NAMES.values()}
+    frames["documents"] = adapters.table(spark, FOLDER, "documents")
+    want = {(n, f.name) for n, df in frames.items() for f in df.schema.fields if f.dataType == StringType()}
+    found = {(r["table_name"], r["column_name"]) for r in QUERIES["pii_leak_scan"](spark, FOLDER).collect()}
+    assert found == want and ("bank_transactions", "beneficiary_country") in found
