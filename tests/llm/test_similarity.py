@@ -314,6 +314,20 @@ def test_fingerprints_that_differ_in_the_first_bit():
     assert pairs((1 << 24) - 1 - 2 ** 63) == pairs(-1 << 39) == 0
 
 
+@pytest.mark.parametrize("together", [0, copies.TOGETHER])
+def test_alike_sets_are_linked_whatever_their_fingerprints(spark, monkeypatch, together):
+    """Four of five shingles are alike; these fingerprints differ in 25 bits."""
+    monkeypatch.setattr(copies, "TOGETHER", together)
+    docs = []
+    for seed in (3984, 6857, 14082):
+        words = [f"{seed}x{k}" for k in range(9)]
+        docs += [(seed, " ".join(words)), (seed + 1, " ".join(words[:8]))]
+        a, b = (copies.fingerprint(copies.shingles(t)) for _, t in docs[-2:])
+        assert ((a ^ b) & (2 ** 64 - 1)).bit_count() > copies.FAR
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r.doc_id for r in copies.deduplicate(frame).collect()) == [3984, 6857, 14082]
+
+
 @pytest.mark.parametrize("share", [0.97, 0.9, 0.85, 0.8])
 def test_one_planted_copy(spark, share):
     """At the bound itself too: 45 of 50 shingles in either, 0.8181, and 40 of 45 and 45, 0.8."""
