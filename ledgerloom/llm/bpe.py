@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import ship_package, text_or_empty
+from ledgerloom.llm.common import SMALL_BATCH, give_back, ship_package, text_or_empty
 
 # The characters with Unicode's White_Space property.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -96,8 +96,8 @@ def encode(text: Column, rank_file: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def byte_bpe_encode(texts: pa.Array) -> pa.Array:
         bpe = load(rank_file, pattern)
-        return pa.array([None if t is None else bpe.packed(t) for t in texts.to_pylist()],
-                        pa.binary())
+        give_back()
+        return pa.array([bpe.packed(t.as_py()) if t.is_valid else None for t in texts], pa.binary())
     return byte_bpe_encode(text)
 
 
@@ -106,8 +106,7 @@ def decode(ids: Column, rank_file: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def byte_bpe_decode(packed: pa.Array) -> pa.Array:
         bpe = load(rank_file, pattern)
-        return pa.array([None if p is None else bpe.decode(p) for p in packed.to_pylist()],
-                        pa.binary())
+        return pa.array([bpe.decode(p.as_py()) if p.is_valid else None for p in packed], pa.binary())
     return byte_bpe_decode(ids)
 
 
@@ -115,8 +114,9 @@ def encode_documents(docs: DataFrame, rank_file: str, pattern: str, text: str =
                      ids: str = "token_ids", decoded: str = "decoded") -> DataFrame:
     """Every row with its token ids and the bytes they decode to. A null text counts as empty.
     Columns of the input that have the names `ids` or `decoded` are replaced; all others, and
-    repeated rows, stay. No shuffle: tasks hold one Arrow batch of texts at a time."""
-    ship_package(docs.sparkSession)
+    repeated rows, stay. No shuffle: tasks hold one Arrow batch of texts at a time, as texts, as ids and
+    as bytes, for which batches are small."""
+    ship_package(docs.sparkSession, SMALL_BATCH)
     return (docs.withColumn(ids, encode(text_or_empty(text), rank_file, pattern))
             .withColumn(decoded, decode(F.col(f"`{ids}`"), rank_file, pattern)))
 

@@ -384,6 +384,33 @@ def test_a_key_sends_on_rows_as_many_as_its_sets():
     assert len(set(roots_of(node, [(r["u"], r["v"]) for r in chain]).values())) == 1
 
 
+def test_what_a_worker_holds_is_bounded(monkeypatch):
+    """Of a group, so many shingles are looked up at once; rows of shared keys leave in parts."""
+    rng, most, both = random.Random(4), [], copies._both
+    monkeypatch.setattr(copies, "AT_ONCE", 500)
+    monkeypatch.setattr(copies, "_both", lambda held, few, size: most.append(sum(size)) or both(held, few, size))
+    texts = [" ".join(str(rng.random()) for _ in range(84)) for _ in range(40)]
+    texts += [t + " more" for t in texts[:9]]
+    names = [b"%02d" % k for k in range(len(texts))]
+    group = pa.table({"group": [b"a"] * len(texts), "node": names, "root": names, "_text": texts})
+    got = {(r["u"], r["v"]) for r in copies._linked_together(group).to_pylist()}
+    assert got == {(names[k], names[40 + k]) for k in range(9)}
+    assert max(most) <= 500 + 81 and sum(most) > 40 * 500
+
+    run, none = copies._Run(), np.zeros(0, np.uint64)
+    for k, text in enumerate(texts):
+        run.add(names[k], copies.shingles(text), none, none.astype(int))
+    rows = list(run.rows(0))
+    whole = pa.table({"index": [rows[0][2]], "records": [rows[0][3]], "sets": [rows[0][4]]})
+    answers = [(r[1], copies.runs.squeeze([tuple(copies.runs.unpack_index(r[2]))])) for r in rows[1:]]
+    answers = pa.table({"section": [a for a, _ in answers], "answer": [b for _, b in answers]})
+    at_once = copies._shared(whole, answers)
+    monkeypatch.setattr(copies, "ROWS_AT_ONCE", 7)
+    parts = copies._shared(whole, answers)
+    assert parts.equals(at_once) and len(parts) > 9
+    assert max(b.num_rows for b in parts.to_batches()) == 7
+
+
 def test_sets_that_hang_together_are_compared_in_full():
     """45 of 50 shingles in either is alike, 40 of 50 isn't; what is linked already is left."""
     texts = [" ".join([f"a{k}" for k in range(54 - c)] + [f"{c}b{k}" for k in range(c)]) for c in (0, 5, 20)]
