@@ -384,6 +384,25 @@ def test_a_key_sends_on_rows_as_many_as_its_sets():
     assert len(set(roots_of(node, [(r["u"], r["v"]) for r in chain]).values())) == 1
 
 
+def test_bucket_counts_rule_out_no_alike_pair(spark):
+    """The bound holds for any two sets; of unlike ones it leaves few."""
+    rng = np.random.default_rng(3)
+    pairs, alike = [], []
+    for k in range(300):
+        n = int(rng.integers(1, 600))
+        a = rng.integers(0, 1 << 63, n).astype(np.uint64)
+        b = np.r_[a[:int(n * k / 300)], rng.integers(0, 1 << 63, n - int(n * k / 300)).astype(np.uint64)]
+        pairs.append((copies.bucket_counts(a), copies.bucket_counts(b)))
+        both = len(np.intersect1d(a, b))
+        alike.append(5 * both >= 4 * (2 * n - both))
+    assert copies.bucket_counts(np.full(256, 7, np.uint64)) is None
+    pairs.append((None, pairs[0][0]))
+    frame = spark.createDataFrame([(k, *p) for k, p in enumerate(pairs)], "k int, a binary, b binary")
+    may = [r.may for r in frame.withColumn("may", copies._may_be_alike(F.col("a"), F.col("b"))).orderBy("k").collect()]
+    assert may[-1] and all(m for m, yes in zip(may, alike) if yes)
+    assert sum(alike) > 20 and sum(may) < 2 * sum(alike) + 20
+
+
 def test_what_a_worker_holds_is_bounded(monkeypatch):
     """Of a group, so many shingles are looked up at once; rows of shared keys leave in parts."""
     rng, most, both = random.Random(4), [], copies._both
